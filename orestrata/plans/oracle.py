@@ -26,7 +26,7 @@ raw_orders AS (
          ' ' || o_orderpriority AS payment_method
   FROM orders),
 raw_order_items AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS order_item_id,
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE)) AS order_item_id,
          l_orderkey AS order_id, l_partkey AS product_id, l_quantity AS quantity, l_discount AS discount_pct
   FROM lineitem),
 silver_customers AS (

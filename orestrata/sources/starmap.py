@@ -82,9 +82,10 @@ def raw_orders(orders: DataFrame) -> DataFrame:
 
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    """Four columns identify a line; joined they are its id."""
+    """Five columns identify a line; joined they are its id."""
+    shipped = F.col("l_shipdate").cast("date").cast("string")
     return lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("order_item_id"),
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", shipped).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),

@@ -21,6 +21,9 @@ TABLES = (
 ).split()
 
 
+spark_done = 0.0
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for name in TABLES:
@@ -41,6 +44,8 @@ def _kind(value) -> str:
 def compare(db: duckdb.DuckDBPyConnection, sql: str, df: DataFrame) -> str | None:
     """None when both sides hold the same columns, value types and rows, else what differs."""
     found = [tuple(_plain(row[n]) for n in sorted(df.columns)) for row in df.collect()]
+    global spark_done
+    spark_done = time.time()
     cursor = db.execute(sql)
     names = [c[0] for c in cursor.description]
     if sorted(names) != sorted(df.columns):
@@ -80,7 +85,7 @@ def main(folder: str, only: list[str]) -> int:
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{name:32} {time.time() - started:6.2f}s {problem or 'ok'}", flush=True)
+        print(f"{name:32} {spark_done - started:6.2f}s spark {time.time() - spark_done:6.2f}s sql  {problem or 'ok'}", flush=True)
     print(f"{failed} differ")
     return 1 if failed else 0
 
