@@ -92,28 +92,25 @@ def detect_classes(
     (table_name, column, data_class, name_matches, present, matched, assigned): a class is assigned
     where the name fits and at least `threshold` of the non-null values do.
     """
-    counts = []
-    for name in df.columns:
-        counts.append(F.count(F.col(name)).alias(f"present__{name}"))
-        for position, data_class in enumerate(classes):
-            fits = F.count_if(F.col(name).cast("string").rlike(data_class.value_pattern))
-            counts.append(fits.alias(f"fits__{position}__{name}"))
-    rows = [
+    names = df.columns
+    long = df.select(*[F.col(name).cast("string").alias(name) for name in names]).unpivot([], names, "column", "value")
+    # Merged to one row per column in every task: no value is shuffled.
+    counts = long.groupBy("column").agg(
+        F.count("value").alias("present"),
+        *[F.count_if(F.col("value").rlike(c.value_pattern)).alias(f"fits__{i}") for i, c in enumerate(classes)],
+    )
+    fits = [
         F.struct(
-            F.lit(name).alias("column"),
-            F.lit(data_class.name).alias("data_class"),
-            F.lit(bool(re.search(data_class.column_pattern, name))).alias("name_matches"),
-            F.col(f"present__{name}").alias("present"),
-            F.col(f"fits__{position}__{name}").alias("matched"),
+            F.lit(c.name).alias("data_class"),
+            F.col("column").rlike(c.column_pattern).alias("name_matches"),
+            F.col(f"fits__{i}").alias("matched"),
         )
-        for name in df.columns
-        for position, data_class in enumerate(classes)
+        for i, c in enumerate(classes)
     ]
     enough = (F.col("present") > 0) & (F.col("matched") >= F.lit(threshold) * F.col("present"))
     return (
-        df.agg(*counts)
-        .select(F.explode(F.array(*rows)).alias("r"))
-        .select(F.lit(table).alias("table_name"), "r.*")
+        counts.select("column", "present", F.explode(F.array(*fits)).alias("r"))
+        .select(F.lit(table).alias("table_name"), "column", "r.data_class", "r.name_matches", "present", "r.matched")
         .withColumn("assigned", F.col("name_matches") & enough)
     )
 

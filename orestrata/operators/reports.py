@@ -69,16 +69,12 @@ def daily_gross(items: DataFrame, orders: DataFrame, products: DataFrame, total_
     priced = items.select("order_id", "product_id", "quantity").join(
         products.select("product_id", "category", "unit_price"), "product_id"
     )
-    # One row per order and category before the order join: fewer rows meet the orders.
-    per_order = priced.groupBy("order_id", "category").agg(
-        F.sum("quantity").cast("bigint").alias("units"),
-        F.sum(F.col("quantity") * F.col("unit_price")).alias("gross"),
-    )
+    lines = priced.select("order_id", "category", "quantity", (F.col("quantity") * F.col("unit_price")).alias("gross"))
     return (
-        per_order.join(done, "order_id")
-        # Uncleaned orders may repeat an id; it counts once.
+        lines.join(done, "order_id")
+        # Partitioned by order already: this merge needs no exchange. A repeated order id counts once.
         .groupBy("order_date", "category", "order_id")
-        .agg(F.sum("units").alias("units"), F.sum("gross").alias("gross"))
+        .agg(F.sum("quantity").alias("units"), F.sum("gross").alias("gross"))
         .groupBy("order_date", "category")
         .agg(
             F.count("order_id").alias("order_count"),

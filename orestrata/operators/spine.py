@@ -25,15 +25,10 @@ def spine_of(df: DataFrame, day: str) -> DataFrame:
 
 def on_spine(spine: DataFrame, metrics: DataFrame, day: str, fill: list[str]) -> DataFrame:
     """Metrics per day with the empty days shown; `fill` columns are 0 there."""
-    joined = spine.join(metrics, spine["date_day"] == metrics[day], "left")
-    filled = [
-        F.coalesce(metrics[name], F.lit(0).cast(metrics.schema[name].dataType)).alias(name)
-        if name in fill
-        else metrics[name]
-        for name in metrics.columns
-        if name != day
-    ]
-    return joined.select("date_day", *filled)
+    joined = spine.select("date_day").join(metrics.withColumnRenamed(day, "date_day"), "date_day", "left")
+    return joined.withColumns(
+        {name: F.coalesce(F.col(name), F.lit(0).cast(metrics.schema[name].dataType)) for name in fill}
+    )
 
 
 def _days(first: Column, last: Column) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -60,6 +63,13 @@ def to_marts(fact: DataFrame, customers: DataFrame, profile: Profile = RETAIL) -
     }
 
 
+def side_by_side(steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent writes at the same time, so that small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: run.result() for name, run in running.items()}
+
+
 def build(raw: Entities, root: str, profile: Profile = RETAIL) -> dict[str, DataFrame]:
     """Store every layer below `root` and return the stored tables by name.
 
@@ -68,30 +78,34 @@ def build(raw: Entities, root: str, profile: Profile = RETAIL) -> dict[str, Data
     thin marts stay views of stored tables.
     """
     tables = raw.named("raw")
-    landed = {
-        name: replace_table(df, f"{root}/bronze/{name}") for name, df in to_bronze(raw).named("bronze").items()
-    }
+    landed = side_by_side(
+        {
+            name: partial(replace_table, df, f"{root}/bronze/{name}")
+            for name, df in to_bronze(raw).named("bronze").items()
+        }
+    )
     tables |= landed
-    clean = to_silver(Entities(*landed.values()), profile)
-    stored = Entities(
-        customers=replace_table(clean.customers, f"{root}/silver/silver_customers"),
-        products=replace_table(clean.products, f"{root}/silver/silver_products"),
-        orders=replace_monthly_table(clean.orders, f"{root}/silver/silver_orders"),
-        order_items=replace_table(clean.order_items, f"{root}/silver/silver_order_items"),
+    clean = to_silver(Entities(*landed.values()), profile).named("silver")
+    stored = side_by_side(
+        {
+            name: partial(replace_monthly_table if name == "silver_orders" else replace_table, df, f"{root}/silver/{name}")
+            for name, df in clean.items()
+        }
     )
-    tables |= stored.named("silver")
-    fact = replace_monthly_table(to_fact(stored), f"{root}/silver/silver_sales_enriched")
+    tables |= stored
+    entities = Entities(*stored.values())
+    fact = replace_monthly_table(to_fact(entities), f"{root}/silver/silver_sales_enriched")
     tables["silver_sales_enriched"] = fact
     if profile is RETAIL:
         spine = time_spine(fact.sparkSession)
     else:
-        spine = spine_of(stored.orders, "order_date")
+        spine = spine_of(entities.orders, "order_date")
     tables["time_spine_daily"] = replace_table(spine, f"{root}/silver/time_spine_daily")
     daily = replace_monthly_table(gold.daily_sales(fact, profile.total_type), f"{root}/gold/gold_daily_sales")
     tables["gold_daily_sales"] = daily
     tables["gold_category_performance"] = gold.category_performance(daily, profile.total_type)
     tables["gold_customer_360"] = gold.customer_360(
-        stored.customers, gold.customer_metrics(fact, profile.total_type)
+        entities.customers, gold.customer_metrics(fact, profile.total_type)
     )
     return tables
 

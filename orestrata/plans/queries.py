@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _sized: set[tuple[str, str]] = set()
+_schemas: dict[tuple[str, str, str], T.StructType] = {}
 _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
@@ -59,14 +60,19 @@ class Data:
             _sized.add(seen)
 
     def scan(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table; its footer is read for the schema only the first time."""
+        path = f"{self.folder}/{name}.parquet"
+        seen = (self.spark.sparkContext.applicationId, self.folder, name)
+        found = files.parquet(self.spark, path, _schemas.get(seen))
+        _schemas.setdefault(seen, found.schema)
+        return found
 
     def work(self, purpose: str) -> str:
         return session.work_folder(self.spark, purpose)
 
     @cached_property
     def raw(self) -> starmap.Entities:
-        return starmap.raw_entities(self.spark, self.folder)
+        return starmap.raw_entities(self.scan)
 
     @cached_property
     def clean(self) -> starmap.Entities:
@@ -874,23 +880,30 @@ def _raw_streams(d: Data) -> dict[str, DataFrame]:
     }
 
 
-def _clean_stream(d: Data, entity: str, root: str) -> DataFrame:
-    """Stage one run to the end of its input; returns the clean stream, typed again."""
-    options = {"key_type": LARGE.key_type}
-    if entity == "order_items":
-        options["line_key_type"] = LARGE.line_key_type
-    clean = pipeline.clean(entity, _raw_streams(d)[entity], **options)
-    topic = f"{root}/topic/{entity}"
-    pipeline.append(pipeline.to_wire(clean), topic, f"{root}/checkpoint/clean-{entity}", once=True).awaitTermination()
-    carried = sources.file_stream(d.spark, topic, pipeline.wire_schema(clean.schema))
-    return pipeline.from_wire(carried, clean.schema)
+def _clean_streams(d: Data, entities: list[str], root: str) -> dict[str, DataFrame]:
+    """Stage one of some entities, side by side, to the end of their input; returns the clean streams, typed again."""
+    raw, clean, runs = _raw_streams(d), {}, []
+    for entity in entities:
+        options = {"key_type": LARGE.key_type}
+        if entity == "order_items":
+            options["line_key_type"] = LARGE.line_key_type
+        clean[entity] = pipeline.clean(entity, raw[entity], **options)
+        wire = pipeline.to_wire(clean[entity])
+        runs.append(pipeline.append(wire, f"{root}/topic/{entity}", f"{root}/checkpoint/clean-{entity}", once=True))
+    for run in runs:
+        run.awaitTermination()
+    carried = {}
+    for entity, df in clean.items():
+        topic = sources.file_stream(d.spark, f"{root}/topic/{entity}", pipeline.wire_schema(df.schema))
+        carried[entity] = pipeline.from_wire(topic, df.schema)
+    return carried
 
 
 def _streamed(d: Data, entity: str, root: str) -> DataFrame:
     """Both stages of one entity: clean, carry, upsert by key."""
     keys = pipeline.KEYS[entity]
     table = KeyedTable(d.spark, f"{root}/table/{entity}", keys)
-    clean = _clean_stream(d, entity, root)
+    clean = _clean_streams(d, [entity], root)[entity]
     pipeline.upsert(clean, table, ["transformed_at"], f"{root}/checkpoint/upsert-{entity}", once=True).awaitTermination()
     return table.read()
 
@@ -918,10 +931,10 @@ def stream_order_items(d: Data) -> DataFrame:
 def _streamed_fact(d: Data) -> DataFrame:
     """The four clean streams joined and upserted by line."""
     root = d.work("stream")
-    clean = {entity: _clean_stream(d, entity, root) for entity in ("customers", "products", "orders", "order_items")}
+    clean = _clean_streams(d, ["customers", "products", "orders", "order_items"], root)
     fact = pipeline.sales_enriched(clean["order_items"], clean["orders"], clean["products"], clean["customers"])
     table = KeyedTable(d.spark, f"{root}/table/sales_enriched", pipeline.KEYS["sales_enriched"])
-    with pipeline.state_partitions(d.spark):
+    with pipeline.state_settings(d.spark):
         run = pipeline.upsert(fact, table, ["transformed_at"], f"{root}/checkpoint/join", once=True)
         run.awaitTermination()
     return table.read()
@@ -937,7 +950,7 @@ def stream_static_enriched(d: Data) -> DataFrame:
     """New lines against stored dimensions and orders: no stream state, planned as batches."""
     root = d.work("stream")
     stored = d.stored
-    lines = _clean_stream(d, "order_items", root)
+    lines = _clean_streams(d, ["order_items"], root)["order_items"]
     table = KeyedTable(d.spark, f"{root}/table/sales_enriched", pipeline.KEYS["sales_enriched"])
     step = pipeline.enrich_against(stored["silver_orders"], stored["silver_products"], stored["silver_customers"])
     run = pipeline.upsert(lines, table, ["transformed_at"], f"{root}/checkpoint/join", once=True, transform=step)

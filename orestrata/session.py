@@ -19,8 +19,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Input bytes per shuffle partition: a query shuffles some columns of what it reads, and both the
+# number of map tasks and of shuffle partitions bound what the driver can track.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 _local_base: str | None = None
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orestrata.session import conf
+
 
 def csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV with a header, every column text: no inference pass over the files."""
@@ -15,15 +17,9 @@ def csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header and types found by Spark; reads the files twice, so for small loads."""
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .option("inferTimestampNTZ", True)
-        .option("preferDate", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
-    )
+    # Types are found while the reader is set up; timestamps without a zone stay without one.
+    with conf(spark, spark__sql__timestampType="TIMESTAMP_NTZ"):
+        return spark.read.csv(path, header=True, inferSchema=True)
 
 
 def csv_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -7,9 +7,10 @@ customers and their orders become orphans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,10 +30,8 @@ class Entities:
         }
 
 
-def raw_entities(spark: SparkSession, folder: str) -> Entities:
-    def scan(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
+def raw_entities(scan: Callable[[str], DataFrame]) -> Entities:
+    """The four entities over the tables that `scan` opens by name."""
     return Entities(
         customers=raw_customers(scan("customer"), scan("nation")),
         products=raw_products(scan("part")),

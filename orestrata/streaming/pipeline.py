@@ -31,6 +31,8 @@ KEYS = {
     "sales_enriched": ["order_item_id"],
 }
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # How many ways a join key is split, so that one key does not end in one task.
 SALTS = {"product_id": 8, "customer_id": 8, "order_id": 4}
 
@@ -85,7 +87,9 @@ def upsert(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(transform(batch), batch_id, order)
+        # Off by default behind stateful operators; the batch itself is fixed by now.
+        with conf(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+            table.upsert(transform(batch), batch_id, order)
 
     return _trigger(df.writeStream.foreachBatch(apply).outputMode("append"), once, checkpoint).start()
 
@@ -129,13 +133,23 @@ def sales_enriched_bounded(
 
     State older than the watermark is dropped, so later records are too; the unbounded join keeps all.
     """
-    on_time = items.drop("transformed_at").withWatermark(item_time, lateness)
-    placed = orders.drop("transformed_at").withWatermark("order_ts", lateness).withColumnRenamed("order_id", "__order")
+    # Watermarks need instants; the fact keeps the plain timestamp.
+    on_time = (
+        items.drop("transformed_at")
+        .withColumn("__sold", F.col(item_time).cast("timestamp"))
+        .withWatermark("__sold", lateness)
+    )
+    placed = (
+        orders.drop("transformed_at")
+        .withColumnRenamed("order_id", "__order")
+        .withColumn("__placed", F.col("order_ts").cast("timestamp"))
+        .withWatermark("__placed", lateness)
+    )
     joined = on_time.join(
         placed,
         (F.col("order_id") == F.col("__order"))
-        & (F.col(item_time) >= F.col("order_ts"))
-        & (F.col(item_time) <= F.col("order_ts") + F.expr(f"interval {line_within}")),
+        & (F.col("__sold") >= F.col("__placed"))
+        & (F.col("__sold") <= F.col("__placed") + F.expr(f"interval {line_within}")),
     )
     described = joined.join(products.drop("transformed_at"), "product_id").join(
         customers.select("customer_id", F.col("country").alias("customer_country")), "customer_id"
@@ -148,10 +162,14 @@ def enrich_against(orders: DataFrame, products: DataFrame, customers: DataFrame)
     return lambda items: enrich.sales_enriched(items, orders, products, customers)
 
 
-def state_partitions(spark: SparkSession, partitions: int | None = None):
-    """Context in which stateful queries are started: their number of state partitions is fixed then."""
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """Context in which stateful queries are started: their settings are fixed then.
+
+    State that outgrows memory needs RocksDB; its number of partitions cannot change later, so give
+    `partitions` for the cluster the stream will grow to.
+    """
     count = partitions or spark.sparkContext.defaultParallelism
-    return conf(spark, spark__sql__shuffle__partitions=str(count))
+    return conf(spark, spark__sql__shuffle__partitions=str(count), spark__sql__streaming__stateStore__providerClass=ROCKSDB)
 
 
 def _priced_lines(joined: DataFrame) -> DataFrame:
