@@ -79,37 +79,65 @@ VOCABULARY_COLUMNS = {
 }
 
 
+DETECTED = (
+    "table_name string, column string, data_class string, name_matches boolean, present bigint, matched bigint, "
+    "assigned boolean"
+)
+
+
 def class_for(column: str, classes: Sequence[DataClass] = DATA_CLASSES) -> DataClass | None:
     """The class that claims a column by its name."""
     return next((c for c in classes if re.search(c.column_pattern, column)), None)
 
 
 def detect_classes(
-    df: DataFrame, table: str, classes: Sequence[DataClass] = DATA_CLASSES, threshold: float = 0.8
+    df: DataFrame,
+    table: str,
+    classes: Sequence[DataClass] = DATA_CLASSES,
+    threshold: float = 0.8,
+    by_value: bool = False,
 ) -> DataFrame:
-    """How well every column fits every class, in one pass over the whole table.
+    """How well columns fit the classes that claim them by name, in one pass over the whole table.
 
     (table_name, column, data_class, name_matches, present, matched, assigned): a class is assigned
-    where the name fits and at least `threshold` of the non-null values do.
+    where the name fits and at least `threshold` of the non-null values do. With `by_value` every
+    column is held against every class, which finds values under an unexpected name.
     """
-    names = df.columns
+    pairs = [
+        (name, data_class, bool(re.search(data_class.column_pattern, name)))
+        for name in df.columns
+        for data_class in classes
+    ]
+    tried = [(name, c, named) for name, c, named in pairs if named or by_value]
+    if not tried:
+        return df.sparkSession.createDataFrame([], DETECTED)
+    names = list(dict.fromkeys(name for name, _, _ in tried))
+    patterns = list(dict.fromkeys(c.value_pattern for _, c, _ in tried))
     long = df.select(*[F.col(name).cast("string").alias(name) for name in names]).unpivot([], names, "column", "value")
     # Merged to one row per column in every task: no value is shuffled.
     counts = long.groupBy("column").agg(
         F.count("value").alias("present"),
-        *[F.count_if(F.col("value").rlike(c.value_pattern)).alias(f"fits__{i}") for i, c in enumerate(classes)],
+        *[
+            F.count_if(
+                F.col("column").isin(*[n for n, c, _ in tried if c.value_pattern == pattern])
+                & F.col("value").rlike(pattern)
+            ).alias(f"fits__{i}")
+            for i, pattern in enumerate(patterns)
+        ],
     )
     fits = [
         F.struct(
+            F.lit(name).alias("of"),
             F.lit(c.name).alias("data_class"),
-            F.col("column").rlike(c.column_pattern).alias("name_matches"),
-            F.col(f"fits__{i}").alias("matched"),
+            F.lit(named).alias("name_matches"),
+            F.col(f"fits__{patterns.index(c.value_pattern)}").alias("matched"),
         )
-        for i, c in enumerate(classes)
+        for name, c, named in tried
     ]
     enough = (F.col("present") > 0) & (F.col("matched") >= F.lit(threshold) * F.col("present"))
     return (
         counts.select("column", "present", F.explode(F.array(*fits)).alias("r"))
+        .where(F.col("r.of") == F.col("column"))
         .select(F.lit(table).alias("table_name"), "column", "r.data_class", "r.name_matches", "present", "r.matched")
         .withColumn("assigned", F.col("name_matches") & enough)
     )

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orestrata.operators.governance import DataClass, class_for
@@ -18,41 +19,56 @@ from orestrata.operators.governance import DataClass, class_for
 HASHED_ABOVE = 64
 
 PERCENT = "decimal(5,2)"
+INTEGRAL = "integral"
 
 
-def _value(name: str) -> Column:
+def _text(name: str) -> Column:
     text = F.col(name).cast("string")
     return F.when(F.length(text) > HASHED_ABOVE, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
 
 
-def column_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value, n): each distinct value of each column, null included."""
-    names = list(columns or df.columns)
-    long = df.select(*[_value(name).alias(name) for name in names]).unpivot([], names, "column", "value")
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n): each distinct value of each column, null included.
+
+    Whole numbers stay numbers when all columns are; otherwise values are text.
+    """
+    names = list(columns)
+    if all(_kind(df, name) == INTEGRAL for name in names):
+        wide = df.select(*[F.col(name).cast("bigint").alias(name) for name in names])
+    else:
+        wide = df.select(*[_text(name).alias(name) for name in names])
+    return wide.unpivot([], names, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _by_kind(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
+    """Columns of whole numbers, and the others: the first are cheaper to shuffle."""
+    whole = [name for name in columns if _kind(df, name) == INTEGRAL]
+    return [names for names in (whole, [name for name in columns if name not in whole]) if names]
 
 
 def profile(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: type, records, nulls, distinct values."""
-    names = list(columns or df.columns)
     type_names = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    counts = (
-        column_values(df, names)
-        .groupBy("column")
-        .agg(
-            F.sum("n").alias("records"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
+    counts = []
+    for names in _by_kind(df, columns or df.columns):
+        counts.append(
+            column_values(df, names)
+            .groupBy("column")
+            .agg(
+                F.sum("n").alias("records"),
+                F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+                F.count("value").alias("distinct_count"),
+            )
+            .select(
+                F.lit(table).alias("table_name"),
+                "column",
+                _lookup(F.col("column"), {name: type_names[name] for name in names}).alias("data_type"),
+                "records",
+                "null_count",
+                "distinct_count",
+            )
         )
-    )
-    return counts.select(
-        F.lit(table).alias("table_name"),
-        "column",
-        _lookup(F.col("column"), {name: type_names[name] for name in names}).alias("data_type"),
-        "records",
-        "null_count",
-        "distinct_count",
-    )
+    return reduce(DataFrame.unionByName, counts)
 
 
 def primary_keys(profiles: DataFrame) -> DataFrame:
@@ -65,49 +81,64 @@ def foreign_keys(tables: dict[str, DataFrame], columns: dict[str, list[str]], mi
     """Columns whose values lie in a key column of another table.
 
     (child_table, child_column, parent_table, parent_column, distinct_values, contained, inclusion).
-    All candidate pairs are counted in one join on the value: a value occurs at most once per column,
-    so a value meets at most as many rows as there are candidate columns.
+    Every table is read once: its distinct values are grouped by value, and each value counts for the
+    pairs of columns that hold it. A value is held at most once per candidate column, so a group is no
+    larger than the list of candidates.
     """
-    values = reduce(
-        DataFrame.unionByName,
-        [
-            column_values(tables[name], names).select(
-                F.lit(name).alias("table_name"),
-                "column",
-                _lookup(F.col("column"), {n: _kind(tables[name], n) for n in names}).alias("kind"),
-                "value",
-                "n",
-            )
+    kinds = dict.fromkeys(_kind(tables[name], column) for name, names in columns.items() for column in names)
+    found = []
+    for kind in kinds:
+        # Only columns of one kind can contain each other.
+        alike = {
+            name: [column for column in names if _kind(tables[name], column) == kind]
             for name, names in columns.items()
-        ],
-    )
-    present = values.where(F.col("value").isNotNull())
-    sizes = values.groupBy("table_name", "column").agg(
-        F.count("value").alias("distinct_values"), F.sum("n").alias("records")
-    )
-    keys = sizes.where(F.col("distinct_values") == F.col("records")).select(
-        F.col("table_name").alias("parent_table"), F.col("column").alias("parent_column")
-    )
-    parents = present.select(
-        F.col("table_name").alias("parent_table"), F.col("column").alias("parent_column"), "kind", "value"
-    ).join(keys, ["parent_table", "parent_column"], "left_semi")
-    children = present.select(
-        F.col("table_name").alias("child_table"), F.col("column").alias("child_column"), "kind", "value"
+        }
+        found.append(_inclusions(tables, {name: names for name, names in alike.items() if names}))
+    return reduce(DataFrame.unionByName, found).where(F.col("contained") >= F.lit(minimum) * F.col("distinct_values"))
+
+
+def _inclusions(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    parts, holders = [], []
+    for table, names in columns.items():
+        numbers = {name: len(holders) + i for i, name in enumerate(names)}
+        holders += [(table, name) for name in names]
+        held = column_values(tables[table], names)
+        holder = F.struct(
+            F.lit(len(parts)).alias("table"), _lookup(F.col("column"), numbers).alias("column"), F.col("n")
+        )
+        parts.append(held.select("value", holder.alias("holder")))
+    by_value = reduce(DataFrame.unionByName, parts).groupBy("value").agg(F.collect_list("holder").alias("holders"))
+    pairs = (
+        by_value.select(F.col("value").isNotNull().alias("present"), F.explode("holders").alias("c"), "holders")
+        .select("present", "c", F.explode("holders").alias("p"))
+        .where((F.col("p.table") != F.col("c.table")) | (F.col("p.column") == F.col("c.column")))
     )
-    contained = (
-        children.join(parents, ["kind", "value"])
-        .where(F.col("child_table") != F.col("parent_table"))
-        .groupBy("child_table", "child_column", "parent_table", "parent_column")
-        .agg(F.count(F.lit(1)).alias("contained"))
+    # A column paired with itself gives its own size; nulls count as rows only.
+    counted = pairs.groupBy(F.col("c.column").alias("child"), F.col("p.column").alias("parent")).agg(
+        F.count_if("present").alias("contained"), F.sum("c.n").alias("records")
     )
-    sized = sizes.select(
-        F.col("table_name").alias("child_table"), F.col("column").alias("child_column"), "distinct_values"
+    itself = F.col("child") == F.col("parent")
+    of_child, of_parent = W.partitionBy("child"), W.partitionBy("parent")
+    sized = counted.select(
+        "child",
+        "parent",
+        "contained",
+        F.max(F.when(itself, F.col("contained"))).over(of_child).alias("distinct_values"),
+        F.max(F.when(itself, F.col("contained"))).over(of_parent).alias("parent_values"),
+        F.max(F.when(itself, F.col("records"))).over(of_parent).alias("parent_records"),
     )
-    inclusion = (F.col("contained") / F.col("distinct_values")).cast("decimal(5,4)")
-    return (
-        contained.join(sized, ["child_table", "child_column"])
-        .withColumn("inclusion", inclusion)
-        .where(F.col("contained") >= F.lit(minimum) * F.col("distinct_values"))
+
+    def name_of(number: str, part: int) -> Column:
+        return F.element_at(F.array(*[F.lit(holder[part]) for holder in holders]), F.col(number) + 1)
+
+    return sized.where(~itself & (F.col("parent_values") == F.col("parent_records")) & (F.col("contained") > 0)).select(
+        name_of("child", 0).alias("child_table"),
+        name_of("child", 1).alias("child_column"),
+        name_of("parent", 0).alias("parent_table"),
+        name_of("parent", 1).alias("parent_column"),
+        "distinct_values",
+        "contained",
+        (F.col("contained") / F.col("distinct_values")).cast("decimal(5,4)").alias("inclusion"),
     )
 
 
@@ -203,7 +234,7 @@ def _percent(part: str, whole: str) -> Column:
     return (F.col(part) * F.lit(100) / F.nullif(F.col(whole), F.lit(0).cast("bigint"))).cast(PERCENT)
 
 
-def _lookup(key: Column, names: dict[str, str]) -> Column:
+def _lookup(key: Column, names: dict[str, str] | dict[str, int]) -> Column:
     pairs = [F.lit(part) for item in names.items() for part in item]
     return F.element_at(F.create_map(*pairs), key)
 
@@ -211,4 +242,4 @@ def _lookup(key: Column, names: dict[str, str]) -> Column:
 def _kind(df: DataFrame, name: str) -> str:
     """Columns are comparable within a kind: whole numbers of any width, or one exact type."""
     type_name = df.schema[name].dataType.simpleString()
-    return "integral" if type_name in ("tinyint", "smallint", "int", "bigint") else type_name
+    return INTEGRAL if type_name in ("tinyint", "smallint", "int", "bigint") else type_name

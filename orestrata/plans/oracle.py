@@ -552,7 +552,8 @@ ORACLE: dict[str, str] = {
         _SCORECARD,
         _detected(0.05),
     ),
-    "data_classes": _sql("SELECT * FROM detected", _detected(0.05)),
+    "data_classes": _sql("SELECT * FROM detected WHERE name_matches", _detected(0.05)),
+    "data_classes_by_value": _sql("SELECT * FROM detected", _detected(0.05)),
     "class_catalog": _sql(
         "SELECT data_class, string_agg(table_name || '.' || \"column\", ',' ORDER BY table_name || '.' || \"column\") "
         'AS "columns" FROM detected WHERE assigned GROUP BY 1',

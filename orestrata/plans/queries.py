@@ -42,7 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-_sized: set[tuple[str, str]] = set()
+_sized: dict[tuple[str, str], int] = {}
 _schemas: dict[tuple[str, str, str], T.StructType] = {}
 _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -56,8 +56,9 @@ class Data:
         session.tune(spark)
         seen = (spark.sparkContext.applicationId, folder)
         if seen not in _sized:
-            session.size_shuffles(spark, session.folder_bytes(spark, folder))
-            _sized.add(seen)
+            _sized[seen] = session.folder_bytes(spark, folder)
+            session.size_shuffles(spark, _sized[seen])
+        self.bytes = _sized[seen]
 
     def scan(self, name: str) -> DataFrame:
         """A table; its footer is read for the schema only the first time."""
@@ -558,12 +559,14 @@ def dq_scorecard(d: Data) -> DataFrame:
     return profile.scorecard(_scores(d))
 
 
-def _detected(d: Data) -> DataFrame:
-    clean = d.clean.named("silver")
-    return reduce(
-        DataFrame.unionByName,
-        [governance.detect_classes(_without_stamp(clean[name]), name, threshold=0.05) for name in _PROFILED],
-    )
+def _detected(d: Data, by_value: bool = False) -> DataFrame:
+    found = []
+    for name, df in d.clean.named("silver").items():
+        rows = _without_stamp(df)
+        if by_value:  # many patterns per value
+            rows = session.spread(rows, d.bytes)
+        found.append(governance.detect_classes(rows, name, threshold=0.05, by_value=by_value))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -587,6 +590,12 @@ def data_classes(d: Data) -> DataFrame:
     return _detected(d)
 
 
+@query
+def data_classes_by_value(d: Data) -> DataFrame:
+    """Every column against every class, whatever its name."""
+    return _detected(d, by_value=True)
+
+
 @query
 def class_catalog(d: Data) -> DataFrame:
     found = governance.class_catalog(_detected(d))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Wanted in every job; each is left alone when the session was started with its own value.
@@ -24,6 +24,9 @@ SETTINGS = {
 SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 50_000
 
+# Input per core below which a scan may leave cores idle.
+SMALL_SPLIT_BYTES = 32 * 1024 * 1024
+
 _local_base: str | None = None
 
 
@@ -61,6 +64,16 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
+def spread(df: DataFrame, input_bytes: int) -> DataFrame:
+    """Rows over all cores before expressions that cost much per row.
+
+    Only for inputs of few, small files, which few tasks would read; others are split well already.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if input_bytes < cores * SMALL_SPLIT_BYTES else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 

@@ -41,6 +41,14 @@ def replace_monthly_table(df: DataFrame, path: str, day: str = "order_date") ->
     return replace_table(df.withColumn(MONTH, month_start(day)), path, [MONTH])
 
 
+def replace_catalog_table(df: DataFrame, name: str, day: str | None = None, fmt: str = "iceberg") -> None:
+    """Create or replace a catalog table in a format with hidden partitioning, by month of `day`."""
+    writer = df.writeTo(name).using(fmt)
+    if day:
+        writer = writer.partitionedBy(F.partitioning.months(day))
+    writer.createOrReplace()
+
+
 def append_table(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("append").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.functions.times import month_ordinal, ordinal_label
@@ -43,15 +43,16 @@ class VersionedTable:
         last = self.latest()
         version = 1 if last is None else last["version"] + 1
         base = version if last is None or operation == "overwrite" else last["base_version"]
-        written = Observation()
-        write_files(df.observe(written, F.count(F.lit(1)).alias("n")), self._folder(version), partition_by)
+        write_files(df, self._folder(version), partition_by)
+        # Counted from the file footers; no column is read.
+        written = self.spark.read.schema(df.schema).parquet(self._folder(version)).count()
         record = (
             version,
             datetime.now(timezone.utc),
             operation,
             base,
             None if last is None else last["version"],
-            written.get.get("n", 0),
+            written,
             tag,
         )
         commit = self.spark.createDataFrame([record], COMMITS).drop("version").coalesce(1)
@@ -126,12 +127,18 @@ class VersionedTable:
         return counts.withColumn("one", one).join(changed.withColumn("one", one), "one").drop("one")
 
 
-def load_incrementally(table: VersionedTable, source: DataFrame, mark: str) -> int:
-    """First run: everything. Later runs: append the rows past the table's high-water mark."""
+def load_incrementally(table: VersionedTable, source: DataFrame, mark: str, keys: list[str] | None = None) -> int:
+    """First run: everything. Later runs: the rows past the table's high-water mark.
+
+    They are appended, or, with `keys`, merged: a newer row replaces the one of the same key.
+    """
     if table.latest() is None:
         return table.commit(source)
-    fresh = incremental.newer_than(source, table.read().select(mark), mark)
-    return table.commit(fresh, "append")
+    present = table.read()
+    fresh = incremental.newer_than(source, present.select(mark), mark)
+    if keys is None:
+        return table.commit(fresh, "append")
+    return table.commit(incremental.merge_by_key(present, fresh, keys, [mark]))
 
 
 def full_refresh(table: VersionedTable, source: DataFrame) -> int:

@@ -31,7 +31,14 @@ KEYS = {
     "sales_enriched": ["order_item_id"],
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State lives on disk, each commit saves what changed; counting its rows would read every key first.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 # How many ways a join key is split, so that one key does not end in one task.
 SALTS = {"product_id": 8, "customer_id": 8, "order_id": 4}
@@ -73,6 +80,19 @@ def append(df: DataFrame, path: str, checkpoint: str, once: bool = False) -> Str
     return _trigger(df.writeStream.format("parquet").option("path", path).outputMode("append"), once, checkpoint).start()
 
 
+def append_kafka(df: DataFrame, servers: str, topic: str, key: str, checkpoint: str, **options: str) -> StreamingQuery:
+    """Append a stream to a topic as JSON records; needs the Kafka connector on the classpath."""
+    records = to_wire(df).select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    writer = (
+        records.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .options(**options)
+        .outputMode("append")
+    )
+    return _trigger(writer, False, checkpoint).start()
+
+
 def upsert(
     df: DataFrame,
     table: KeyedTable,
@@ -165,11 +185,12 @@ def enrich_against(orders: DataFrame, products: DataFrame, customers: DataFrame)
 def state_settings(spark: SparkSession, partitions: int | None = None):
     """Context in which stateful queries are started: their settings are fixed then.
 
-    State that outgrows memory needs RocksDB; its number of partitions cannot change later, so give
-    `partitions` for the cluster the stream will grow to.
+    The number of state partitions cannot change later, so give `partitions` for the cluster the
+    stream will grow to.
     """
     count = partitions or spark.sparkContext.defaultParallelism
-    return conf(spark, spark__sql__shuffle__partitions=str(count), spark__sql__streaming__stateStore__providerClass=ROCKSDB)
+    settings = {**STATE_SETTINGS, "spark.sql.shuffle.partitions": str(count)}
+    return conf(spark, **{key.replace(".", "__"): value for key, value in settings.items()})
 
 
 def _priced_lines(joined: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from orestrata.operators import governance
 )
 def test_classes(spark, column, good, bad):
     df = spark.createDataFrame([(v,) for v in good + bad + [None]], f"{column} string")
-    found = governance.detect_classes(df, "t", threshold=0.0).where("name_matches").collect()
+    found = governance.detect_classes(df, "t", threshold=0.0).collect()
     assert [(r["present"], r["matched"], r["assigned"]) for r in found] == [(len(good + bad), len(good), True)]
     strict = governance.detect_classes(df, "t", threshold=1.0).where("assigned")
     assert strict.isEmpty()

@@ -123,6 +123,34 @@ def test_foreign_keys(spark):
     assert rows(partly) == []
 
 
+def test_foreign_keys_against_brute_force(spark):
+    """All pairs of columns of two kinds, with nulls, repeats and partial inclusion."""
+    data = {
+        "a": [(i, i % 7, f"k{i % 3}", None if i % 5 == 0 else i % 4) for i in range(40)],
+        "b": [(i, i // 2, f"k{i}", i % 2) for i in range(10)],
+        "c": [(i * 2, i, f"x{i}", None) for i in range(8)],
+    }
+    columns = ["p", "q", "r", "s"]
+    tables = {n: spark.createDataFrame(v, "p int, q bigint, r string, s int") for n, v in data.items()}
+    found = profile.foreign_keys(tables, {n: columns for n in data}, minimum=0.3)
+    kind = {"p": "i", "q": "i", "r": "t", "s": "i"}
+    wanted = []
+    for ct, crows in data.items():
+        for pt, prows in data.items():
+            for ci, c in enumerate(columns):
+                for pi, p in enumerate(columns):
+                    if ct == pt or kind[c] != kind[p]:
+                        continue
+                    child = {r[ci] for r in crows} - {None}
+                    parent = [r[pi] for r in prows]
+                    common = child & set(parent)
+                    if None in parent or len(set(parent)) != len(parent) or not common or len(common) < 0.3 * len(child):
+                        continue
+                    wanted.append((ct, c, pt, p, len(child), len(common)))
+    got = rows(found, "child_table", "child_column", "parent_table", "parent_column", "distinct_values", "contained")
+    assert got == sorted(wanted, key=repr)
+
+
 def test_scores(spark):
     df = spark.createDataFrame(
         [(3001, "completed", "x"), (3002, "shipped", None), (99, None, None), (3001, "pending", "y")],

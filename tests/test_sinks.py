@@ -139,6 +139,17 @@ def test_incremental_equals_full(spark, orders, folder):
     assert rows(table.read()) == rows(orders)
 
 
+def test_incremental_merge(spark, orders, folder):
+    """A later state of an order replaces the stored one."""
+    table = versions.VersionedTable(spark, f"{folder}/v")
+    versions.load_incrementally(table, orders, "order_ts", ["order_id"])
+    late = orders.where("order_id = 105").withColumns(
+        {"order_ts": F.lit("2026-03-01").cast("timestamp_ntz"), "status": F.lit("completed")}
+    )
+    versions.load_incrementally(table, orders.unionByName(late), "order_ts", ["order_id"])
+    assert rows(table.read()) == rows(orders.where("order_id <> 105").unionByName(late))
+
+
 def test_high_water_mark_reaches_the_scan(spark, orders, folder):
     stored = tables.replace_table(orders, f"{folder}/t")
     fresh = incremental.newer_than(stored, stored.where("order_id < 104"), "order_ts")
