@@ -408,6 +408,7 @@ ORACLE: dict[str, str] = {
     "bronze_products": _bronze("products"),
     "bronze_orders": _bronze("orders"),
     "bronze_order_items": _bronze("order_items"),
+    "bronze_files": "SELECT 'lineitem.parquet' AS _source_file, count(*) AS row_count FROM lineitem",
     "bronze_stage": _sql(
         "SELECT *, TIMESTAMP '2026-01-02 03:04:05' AS _ingested_at, 'medallion_flow' AS _ingested_by, "
         "'raw_orders.csv' AS _source_file, 'run-7' AS _ingest_batch_id FROM raw_orders"

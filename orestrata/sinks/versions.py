@@ -92,16 +92,17 @@ class VersionedTable:
             raise ValueError(f"{self.path} had no version at {moment}")
         return self.read(found["version"])
 
-    def snapshots(self) -> DataFrame:
-        """(committed_at, version, operation, row_count), newest first."""
-        return self.commits().select("committed_at", "version", "operation", "row_count").orderBy(F.desc("version"))
+    def snapshots(self, last: int | None = None) -> DataFrame:
+        """(committed_at, version, operation, row_count), newest first, all or the `last` ones."""
+        found = self.commits().select("committed_at", "version", "operation", "row_count").orderBy(F.desc("version"))
+        return found if last is None else found.limit(last)
 
-    def history(self) -> DataFrame:
+    def history(self, last: int | None = None) -> DataFrame:
         """(made_current_at, version, parent_version, is_current_ancestor), newest first.
 
         Versions follow one another without branches, so each is an ancestor of the current one.
         """
-        return (
+        found = (
             self.commits()
             .select(
                 F.col("committed_at").alias("made_current_at"),
@@ -111,6 +112,7 @@ class VersionedTable:
             )
             .orderBy(F.desc("version"))
         )
+        return found if last is None else found.limit(last)
 
     def compare(self, before: int, after: int, columns: list[str] | None = None) -> DataFrame:
         """One row: counts of both versions, and distinct rows found only before or only after."""

@@ -68,5 +68,5 @@ def jdbc(
 
 
 def source_file() -> Column:
-    """Base name of the file a row was read from."""
-    return F.element_at(F.split(F.input_file_name(), "/"), -1)
+    """Base name of the file a row is read from; only right on a scan."""
+    return F.col("_metadata.file_name")
