@@ -590,14 +590,10 @@ def _detected(d: Data, by_value: bool = False) -> DataFrame:
 @query
 def dq_kpis(d: Data) -> DataFrame:
     """Totals over the scored tables and the number of data classes found in them."""
-    classes = governance.class_catalog(_detected(d)).agg(F.count(F.lit(1)).alias("found"))
+    classes = governance.class_catalog(_detected(d)).agg(F.count(F.lit(1)).alias("n_classes"))
     totals = profile.kpis(profile.scorecard(_scores(d)), 0)
-    one = F.lit(1)  # both sides are one row
-    return (
-        totals.withColumn("one", one)
-        .join(classes.withColumn("one", one), "one")
-        .select("n_assets", "avg_dq", "total_records", F.col("found").alias("n_classes"), "n_columns")
-    )
+    parts = totals.drop("n_classes").unionByName(classes, allowMissingColumns=True)
+    return parts.agg(*[F.max(name).alias(name) for name in totals.columns])
 
 
 # --- governance ------------------------------------------------------------

@@ -117,16 +117,13 @@ class VersionedTable:
     def compare(self, before: int, after: int, columns: list[str] | None = None) -> DataFrame:
         """One row: counts of both versions, and distinct rows found only before or only after."""
         old, new = self.read(before), self.read(after)
-        names = columns or new.columns
-        counts = reconcile.table_counts({"before": old, "after": new}).agg(
-            *[F.max(F.when(F.col("table_name") == n, F.col("row_count"))).alias(f"{n}_rows") for n in ("before", "after")]
-        )
-        changed = reconcile.except_counts(old, new, names).select(
+        changed = reconcile.except_counts(old, new, columns or new.columns).select(
             F.col("ref_only").alias("removed"), F.col("other_only").alias("added"), "copies_differ"
         )
-        # both sides are one row
-        one = F.lit(1)
-        return counts.withColumn("one", one).join(changed.withColumn("one", one), "one").drop("one")
+        facts = reconcile.table_counts({"before_rows": old, "after_rows": new}).toDF("name", "n")
+        facts = facts.unionByName(changed.unpivot([], changed.columns, "name", "n"))
+        names = ["before_rows", "after_rows", *changed.columns]
+        return facts.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in names])
 
 
 def load_incrementally(table: VersionedTable, source: DataFrame, mark: str, keys: list[str] | None = None) -> int:

@@ -103,6 +103,9 @@ def upsert(
 ) -> StreamingQuery:
     """Upsert a stream by key. A batch that runs again after a failure replaces its own output.
 
+    Where a batch may hold several changes of a key, `order` must tell the last one, for instance by a
+    sequence number that `clean` was told to carry.
+
     `transform` sees each batch as an ordinary frame, planned adaptively.
     """
 

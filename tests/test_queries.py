@@ -33,4 +33,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, db, name):
-    assert compare(db, oracle_sql()[name], queries()[name](spark, FOLDER)) is None
+    df = queries()[name](spark, FOLDER)
+    assert compare(db, oracle_sql()[name], df) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for part in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert part not in plan

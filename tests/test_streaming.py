@@ -1,5 +1,6 @@
 """Streams against the same work done in batch."""
 
+import pytest
 from pyspark.sql import functions as F
 from shop import entities, rows
 
@@ -79,6 +80,50 @@ def test_upserts_keep_the_last_change(spark, folder):
     assert second == [(k, "completed" if k == 105 else s) for k, s in first]
 
 
+def test_changes_within_one_batch_follow_their_sequence(spark, folder):
+    raw = entities(spark).orders.where("order_id = '105'")
+    states = ["completed", "pending", "returned"]
+    for number in (2, 0, 1):
+        change = raw.withColumns({"status": F.lit(states[number]), "_sequence": F.lit(number).cast("bigint")})
+        change.write.mode("append").parquet(f"{folder}/raw")
+    log = sources.file_stream(spark, f"{folder}/raw", change.schema)
+    clean = pipeline.clean("orders", log, carry=["_sequence"])
+    pipeline.append(pipeline.to_wire(clean), f"{folder}/topic", f"{folder}/cp/clean", once=True).awaitTermination()
+    carried = sources.file_stream(spark, f"{folder}/topic", pipeline.wire_schema(clean.schema))
+    table = _stored(spark, folder, "orders")
+    typed = pipeline.from_wire(carried, clean.schema)
+    pipeline.upsert(typed, table, ["_sequence"], f"{folder}/cp/upsert", once=True).awaitTermination()
+    assert rows(table.read(), "order_id", "status", "_sequence") == [(105, "returned", 2)]
+
+
+def test_a_failed_batch_is_done_again(spark, folder):
+    """A batch that fails after its write runs again from the checkpoint and leaves every row once."""
+    raw = entities(spark)
+    _land(raw, folder)
+    clean = pipeline.clean("order_items", sources.file_stream(spark, f"{folder}/raw/order_items", raw.order_items.schema))
+    table = _stored(spark, folder, "order_items")
+    written = table.upsert
+    attempts = []
+
+    def failing(changes, batch_id, order):
+        written(changes, batch_id, order)
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("lost after the write")
+
+    table.upsert = failing
+
+    def run():
+        pipeline.upsert(clean, table, ["transformed_at"], f"{folder}/cp/once", once=True).awaitTermination()
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    run()
+    assert attempts == [0, 0]
+    wanted = silver.clean_order_items(raw.order_items)
+    assert rows(table.read().drop("transformed_at")) == rows(wanted.drop("transformed_at"))
+
+
 def test_wire_form_is_text(spark):
     clean = medallion.to_silver(entities(spark)).orders
     wire = pipeline.to_wire(clean)
