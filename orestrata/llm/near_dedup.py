@@ -150,7 +150,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_similarities, "a bigint, b bigint, similarity double")
 
 
-def _star_pairs(shared: DataFrame) -> DataFrame:
+def star_pairs(shared: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of each bucket's members with the bucket's pivots; `shared` has (band, rep, n).
 
     The first pivot is the member that meets most others over all its buckets: in a group of copies of one text,
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = texts_of.select("rep", F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(buckets.join(sizes, "band").select("band", "rep", "n"))
-    pairs = cut(_star_pairs(shared))
+    pairs = cut(star_pairs(shared))
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = rows.join(needed, "id", "left_semi").withColumn("digest", F.md5("text"))
     texts = cut(texts.dropDuplicates(["id", "digest"]).select("id", "text"))

@@ -56,3 +56,34 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     roots = found.select(F.col("root").alias("node"), "root").distinct()
     alone = loops.distinct().select(F.col("u").alias("node"), F.col("u").alias("root"))
     return found.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("root").alias("root"))
+
+
+FILTER_BITS = 1 << 25
+
+
+def key_filter(keys: DataFrame, column: str):
+    """A Bloom filter of FILTER_BITS bits over a column of 64-bit hashes: an array of words, 4 MB at any size of `keys`.
+
+    It only spares work: what passes must still be joined with the keys. Where keys are too many for it, more passes.
+    """
+    import numpy as np
+
+    places = [F.pmod(F.shiftright(column, k * 20), F.lit(FILTER_BITS)) for k in range(2)]
+    bits = keys.select(F.explode(F.array(*places)).alias("bit"))
+    word = F.floor(F.col("bit") / 64).alias("word")
+    mask = F.expr("shiftleft(1L, cast(bit % 64 as int))")
+    words = bits.select(word, mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    found = np.zeros(FILTER_BITS // 64, np.uint64)
+    found[words["word"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
+    return found
+
+
+def may_hold(found, keys):
+    """Which of the int64 `keys` may be among those of the filter."""
+    import numpy as np
+
+    out = np.ones(len(keys), bool)
+    for k in range(2):
+        bit = (keys >> (k * 20)) & (FILTER_BITS - 1)
+        out &= (found[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
