@@ -30,7 +30,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
         size = max(n, PAGE + 64)
@@ -100,7 +100,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         base = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, base + PAGE, "right")))
         page = data[base : ends[j - 1]]
-        up, down = _power(len(page) + 1)
+        up, down = powers(len(page) + 1)
         total = np.zeros(len(page) + 1, np.uint64)
         np.cumsum(_BYTES[page] * up[: len(page)], out=total[1:])
         s, e = starts[i:j] - base, ends[i:j] - base

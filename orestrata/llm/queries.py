@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.llm import bpe, line_rules, near_dedup, personal_data
+from orestrata.llm import (
+    bpe,
+    hamming,
+    line_dedup,
+    line_rules,
+    mixing,
+    near_dedup,
+    passages,
+    personal_data,
+    quality,
+    toxicity,
+)
 from orestrata.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,12 +43,44 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(documents(spark, folder), path, public_tokenizers.PATTERN)
 
 
+@query
+def op3_quality_rff(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query
+def op4_hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whose id is divisible by 20 asks all vectors."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return hamming.nearest(vectors, vectors.where("vec_id % 20 = 0"), bits=64)
+
+
 @query
 def op5_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = line_rules.judged(documents(spark, folder))
     return found.withColumn("cleaned_sha256", F.sha2("cleaned", 256)).drop("cleaned")
 
 
+@query
+def op6_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(documents(spark, folder))
+
+
+@query
+def op7_toxicity_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query
+def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.classified(documents(spark, folder))
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated(documents(spark, folder))
+
+
 @query
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = personal_data.found(documents(spark, folder))
