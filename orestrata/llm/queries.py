@@ -34,7 +34,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 @query
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(documents(spark, folder))
+    return near_dedup.near_duplicates(documents(spark, folder)).select("doc_id", "class_id", "kept")
 
 
 @query
@@ -73,7 +73,8 @@ def op7_toxicity_crf(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.classified(documents(spark, folder))
+    found = line_dedup.classified(documents(spark, folder))
+    return found.select("doc_id", "line", F.col("first_id").alias("first_doc_id"), "first_line", "kept")
 
 
 @query
