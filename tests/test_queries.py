@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from orestrata.plans.oracle import ORACLE
+from orestrata.plans.queries import QUERIES
 from oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,7 +20,7 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -31,10 +33,10 @@ def test_entry(spark):
     ]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = queries()[name](spark, FOLDER)
-    assert compare(db, oracle_sql()[name], df) is None
+    df = QUERIES[name](spark, FOLDER)
+    assert compare(db, ORACLE[name], df) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     for part in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert part not in plan
