@@ -38,8 +38,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     the number of links never grows. Nulls are no nodes. Ends when a round changes nothing.
     """
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
+    pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     loops = pairs.where("u = v").select("u")
-    pairs = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    pairs = pairs.where("u <> v")
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -54,7 +55,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         before = state
     found = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = found.select(F.col("root").alias("node"), "root").distinct()
-    alone = loops.distinct().select(F.col("u").alias("node"), F.col("u").alias("root"))
+    alone = loops.select(F.col("u").alias("node"), F.col("u").alias("root"))
     return found.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("root").alias("root"))
 
 
