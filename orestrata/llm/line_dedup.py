@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -128,26 +129,20 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "line", "hash", "bands"])
 
 
+@lru_cache(2048)
+def _runs(line: str) -> frozenset[str]:
+    return frozenset([line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))])
+
+
 def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact Jaccard similarity of the two lines of each row."""
+    """Exact Jaccard similarity of the two lines of each row. Pivots come again and again, so their sets are kept."""
     for batch in batches:
         out = []
-        for lo in range(0, batch.num_rows, 2048):
-            part = batch.slice(lo, 2048)
-            sets = []
-            for column in (part.column(2), part.column(3)):
-                keys = []
-                for first, lines in _each(column):
-                    runs, offsets = lines.shingles()
-                    row = np.repeat(lines.row + first, np.diff(offsets)).astype(np.uint64)
-                    keys.append((row << np.uint64(48)) | (runs >> np.uint64(16)))
-                sets.append(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64))
-            count = [np.bincount((x >> np.uint64(48)).astype(np.int64), minlength=part.num_rows) for x in sets]
-            both = np.intersect1d(*sets, assume_unique=True)
-            both = np.bincount((both >> np.uint64(48)).astype(np.int64), minlength=part.num_rows)
-            out.append(both / np.maximum(count[0] + count[1] - both, 1))
-        found = np.concatenate(out) if out else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["a", "b", "similarity"])
+        for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            a, b = _runs(one), _runs(two)
+            common = len(a & b)
+            out.append(common / (len(a) + len(b) - common))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
 
 def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
