@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import count
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -269,16 +270,16 @@ def relationships(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "child string, child_column string, parent string, parent_column string")
 
 
-def closure(edges: DataFrame, steps: int = 20) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(source, target, distance): everything downstream of every node, by its shortest path.
 
-    One join per step until nothing is new; the graph must not be deeper than `steps`. Every step's
-    result is checkpointed, so the plan does not grow.
+    One join per step until nothing is new, at any depth; what is known is not reached again, so a cycle
+    ends too. Every step's result is checkpointed, so the plan does not grow.
     """
     shared_folder(edges.sparkSession)  # checkpoints go there
     known = edges.select("source", "target").distinct().withColumn("distance", F.lit(1))
     frontier = known
-    for step in range(2, steps + 2):
+    for step in count(2):
         reached = (
             frontier.select("source", F.col("target").alias("via"))
             .join(edges.select(F.col("source").alias("via"), "target"), "via")
@@ -290,11 +291,8 @@ def closure(edges: DataFrame, steps: int = 20) -> DataFrame:
         )
         if reached.isEmpty():
             return known
-        if step > steps:
-            raise ValueError(f"lineage is deeper than {steps} steps")
         known = known.unionByName(reached)
         frontier = reached
-    return known
 
 
 def _tag_set(*tags: Column) -> Column:

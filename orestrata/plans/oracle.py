@@ -85,7 +85,7 @@ daily_gross AS (
   SELECT CAST(order_ts AS DATE) AS order_date, category, count(DISTINCT order_id) AS order_count,
          CAST(sum(CAST(quantity AS INTEGER)) AS BIGINT) AS units_sold,
          CAST(sum(unit_price * CAST(quantity AS INTEGER)) AS DECIMAL(24,2)) AS gross_revenue
-  FROM raw_order_items JOIN silver_products USING (product_id) JOIN raw_orders USING (order_id)
+  FROM raw_order_items JOIN raw_products USING (product_id) JOIN raw_orders USING (order_id)
   WHERE lower(trim(status)) = 'completed' GROUP BY ALL),
 calendar AS (
   SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date_day
@@ -379,12 +379,11 @@ def _both(table: str, columns: str = "*") -> str:
     )
 
 
-def _last_events(where: str) -> str:
+def _last_events(step: str) -> str:
     return (
-        "SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER "
+        "SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY user_id ORDER BY step DESC, ts DESC, event_id DESC) AS rn FROM ("
-        "SELECT *, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 2 WHEN 'purchase' THEN 3 "
-        f"ELSE 4 END AS step FROM events) WHERE {where}) WHERE rn = 1"
+        f"SELECT *, CASE event_type {step} END AS step FROM events)) WHERE rn = 1"
     )
 
 
@@ -440,8 +439,8 @@ ORACLE: dict[str, str] = {
     "customer_leaderboard": _sql("""
         SELECT first_name || ' ' || last_name AS customer_name, country, count(DISTINCT order_id) AS total_orders,
                CAST(sum(unit_price * CAST(quantity AS INTEGER)) AS DECIMAL(24,2)) AS total_revenue
-        FROM raw_order_items JOIN silver_products USING (product_id) JOIN raw_orders USING (order_id)
-        JOIN silver_customers USING (customer_id)
+        FROM raw_order_items JOIN raw_products USING (product_id) JOIN raw_orders USING (order_id)
+        JOIN raw_customers USING (customer_id)
         GROUP BY first_name, last_name, country ORDER BY total_revenue DESC, customer_name LIMIT 10"""),
     "status_breakdown": _sql("SELECT status, count(*) AS row_count FROM silver_orders GROUP BY status"),
     "top_categories": _sql(f"{_CATEGORY} ORDER BY total_revenue DESC, category LIMIT 5"),
@@ -644,10 +643,11 @@ ORACLE: dict[str, str] = {
         SELECT event_id, ts, user_id, event_type, value, props FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1""",
-    "upsert_latest": _last_events("step < 4"),
-    "upsert_compacted": _last_events("step < 4 OR value > 20"),
+    "upsert_latest": _last_events("WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 2 WHEN 'purchase' THEN 3 ELSE 4"),
+    "upsert_compacted": _last_events("WHEN 'view' THEN 0 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3 ELSE 4"),
     "stream_customers": _sql("SELECT * FROM silver_customers"),
     "stream_products": _sql("SELECT * FROM silver_products"),
+    "stream_replay": _sql("SELECT * FROM silver_products"),
     "stream_orders": _sql(_ORDERS),
     "stream_order_items": _sql("SELECT * FROM silver_order_items"),
     "stream_enriched": _sql(_FACT),

@@ -42,7 +42,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-_sized: dict[tuple[str, str], int] = {}
 _schemas: dict[tuple[str, str, str], T.StructType] = {}
 _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _staged: dict[tuple[str, str], DataFrame] = {}
@@ -55,11 +54,6 @@ class Data:
         self.spark = spark
         self.folder = folder
         session.tune(spark)
-        seen = (spark.sparkContext.applicationId, folder)
-        if seen not in _sized:
-            _sized[seen] = session.folder_bytes(spark, folder)
-            session.size_shuffles(spark, _sized[seen])
-        self.bytes = _sized[seen]
 
     def scan(self, name: str) -> DataFrame:
         """A table; its footer is read for the schema only the first time."""
@@ -100,7 +94,7 @@ class Data:
     @cached_property
     def gross(self) -> DataFrame:
         plain = _plain_orders(self)
-        return reports.daily_gross(_plain_items(self), plain, self.clean.products, LARGE.total_type)
+        return reports.daily_gross(_plain_items(self), plain, self.raw.products, LARGE.total_type)
 
     @property
     def stored(self) -> dict[str, DataFrame]:
@@ -349,9 +343,10 @@ def adhoc_daily_gross(d: Data) -> DataFrame:
 
 @query
 def customer_leaderboard(d: Data) -> DataFrame:
-    c = d.clean
+    """From the raw entities: a customer without an email counts like any other."""
+    raw = d.raw
     return reports.customer_leaderboard(
-        c.customers, _plain_orders(d), _plain_items(d), c.products, total_type=LARGE.total_type
+        raw.customers, _plain_orders(d), _plain_items(d), raw.products, total_type=LARGE.total_type
     )
 
 
@@ -581,8 +576,6 @@ def _detected(d: Data, by_value: bool = False) -> DataFrame:
     found = []
     for name, df in d.clean.named("silver").items():
         rows = _without_stamp(df)
-        if by_value:  # many patterns per value
-            rows = session.spread(rows, d.bytes)
         found.append(governance.detect_classes(rows, name, threshold=0.05, by_value=by_value))
     return reduce(DataFrame.unionByName, found)
 
@@ -862,15 +855,19 @@ def latest_per_key(d: Data) -> DataFrame:
 
 
 def _event_states(d: Data) -> KeyedTable:
-    """Per user the last event, upserted in one batch per event type, one batch twice."""
+    """Per user the last event, upserted in one batch per event type (any other type in the last), one batch twice."""
     table = KeyedTable(d.spark, d.work("events"), ["user_id"])
-    events = d.scan("events").drop("props")
-    for batch, kind in enumerate(["view", "click", "signup", "purchase"]):
-        table.upsert(events.where(F.col("event_type") == kind), batch, ["ts", "event_id"])
-    table.upsert(events.where(F.col("event_type") == "signup"), 2, ["ts", "event_id"])
+    for batch in [*range(5), 2]:
+        table.upsert(_event_batch(d, batch), batch, ["ts", "event_id"])
     return table
 
 
+def _event_batch(d: Data, number: int) -> DataFrame:
+    kinds = ["view", "click", "signup", "purchase"]
+    known = F.coalesce(F.array_position(F.array(*map(F.lit, kinds)), F.col("event_type")), F.lit(0))
+    return d.scan("events").where(known == (number + 1 if number < len(kinds) else 0))
+
+
 @query
 def upsert_latest(d: Data) -> DataFrame:
     return _event_states(d).read()
@@ -878,20 +875,33 @@ def upsert_latest(d: Data) -> DataFrame:
 
 @query
 def upsert_compacted(d: Data) -> DataFrame:
-    """The same after folding the batches into a base, with one more batch on top."""
+    """Folded into a base, then two batches of a new run on top, whose numbers start again at 0."""
     table = _event_states(d)
     table.compact()
-    errors = d.scan("events").drop("props").where(F.col("event_type") == "error")
-    table.upsert(errors.where(F.col("value") > 20), 4, ["ts", "event_id"])
+    table.upsert(_event_batch(d, 1), 0, ["ts", "event_id"], run="again")
+    table.upsert(_event_batch(d, 4), 1, ["ts", "event_id"], run="again")
     return table.read()
 
 
+@query
+def stream_replay(d: Data) -> DataFrame:
+    """Products upserted, folded, and brought again whole by a stream with a fresh checkpoint: the same rows."""
+    root = d.work("stream")
+    table = KeyedTable(d.spark, f"{root}/table/products", pipeline.KEYS["products"])
+    clean = _clean_streams(d, ["products"], root)["products"]
+    for run in ("one", "two"):
+        pipeline.upsert(clean, table, ["transformed_at"], f"{root}/checkpoint/{run}", once=True).awaitTermination()
+        if run == "one":
+            table.compact()
+    return _without_stamp(table.read())
+
+
 # --- streams ---------------------------------------------------------------
 
 
 def _raw_stream(d: Data, name: str) -> DataFrame:
-    schema = d.scan(name).schema
-    return sources.file_stream(d.spark, d.folder, schema, file_names=f"{name}.parquet")
+    """A table as a stream, be it one file or a folder of part files: a glob that only the table matches takes both."""
+    return sources.file_stream(d.spark, f"{d.folder}/{name}.parque[t]", d.scan(name).schema)
 
 
 def _raw_streams(d: Data) -> dict[str, DataFrame]:

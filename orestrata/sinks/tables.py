@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,9 +97,34 @@ def replace_view(spark: SparkSession, name: str, select: str) -> DataFrame:
     return spark.table(name)
 
 
+def swap_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace a stored table by rows that are written whole first, to a folder beside it.
+
+    The rows may come from the table itself. If writing fails, the old table is as it was; then two renames put the
+    new folder in its place, so readers that list files find one table or the other.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    fresh, old = f"{path}__new-{uuid.uuid4().hex}", f"{path}__old-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    here = jvm.Path(path)
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(here)
+    if had and not files.rename(here, jvm.Path(old)):
+        raise OSError(f"{path} can't be moved")
+    if not files.rename(jvm.Path(fresh), here):
+        if had:
+            files.rename(jvm.Path(old), here)
+        raise OSError(f"{path} can't be replaced")
+    if had:
+        files.delete(jvm.Path(old), True)
+    return spark.read.parquet(path)
+
+
 def refresh_mart(compute: Callable[[], DataFrame], path: str) -> DataFrame:
-    """Recompute a mart and replace its stored rows."""
-    return replace_table(compute(), path)
+    """Recompute a mart, from its own stored rows if need be, and replace them."""
+    return swap_table(compute(), path)
 
 
 # Reporting copies: mart -> (target column, mart column, type). Types are fixed values.
@@ -143,7 +169,7 @@ def reporting_rows(mart: str, df: DataFrame) -> DataFrame:
 
 def refresh_reporting(mart: str, df: DataFrame, path: str) -> DataFrame:
     """Replace the reporting copy of a mart."""
-    return replace_table(reporting_rows(mart, df), path)
+    return swap_table(reporting_rows(mart, df), path)
 
 
 def write_jdbc(df: DataFrame, url: str, relation: str, **options: str) -> None:

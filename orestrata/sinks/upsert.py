@@ -1,12 +1,16 @@
 """Keyed tables that take batches of changes: the last change of a key wins.
 
-A batch is written to its own folder, named by the batch id, so a batch that is replayed replaces
-itself. Readers merge the batches over the last compacted base by key. A batch costs what it brings;
-`compact` folds the batches into a new base from time to time.
+A batch is named by the run that brings it and its number in that run. When it is first written it gets the table's
+next sequence number, and its own folder of that number; a batch that is replayed has its number already and replaces
+itself. A new run (a stream with a fresh checkpoint) starts its numbers again without touching older batches. Readers
+merge by key, later sequence numbers last, over the compacted base, which records exactly the numbers that it holds. A
+batch costs what it brings; `compact` folds the batches into a new base from time to time. One writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +18,8 @@ from pyspark.sql import functions as F
 from orestrata.operators.incremental import latest_per_key
 from orestrata.sinks.versions import VersionedTable
 
-BATCH = "batch_id"
+BATCH = "batch_seq"
+NAMES = "run string, batch_id bigint, batch_seq bigint"
 
 
 class KeyedTable:
@@ -24,10 +29,10 @@ class KeyedTable:
         self.keys = keys
         self.base = VersionedTable(spark, f"{self.path}/base")
 
-    def upsert(self, changes: DataFrame, batch_id: int, order: list[str]) -> None:
-        """Apply one batch; within it the last row of a key by `order` counts."""
+    def upsert(self, changes: DataFrame, batch_id: int, order: list[str], run: str = "") -> None:
+        """Apply one batch of a run; within it the last row of a key by `order` counts."""
         last = latest_per_key(changes, self.keys, order)
-        last.write.mode("overwrite").parquet(f"{self.path}/log/{BATCH}={batch_id}")
+        last.write.mode("overwrite").parquet(f"{self.path}/log/{BATCH}={self._sequence(run, batch_id)}")
 
     def read(self) -> DataFrame:
         """One row per key: its last change."""
@@ -40,18 +45,42 @@ class KeyedTable:
         base = self.base.read()
         if log is None:
             return base
-        newer = latest_per_key(log.where(F.col(BATCH) > int(folded["tag"])), self.keys, [BATCH])
+        held = [int(n) for n in folded["tag"].split(",") if n]
+        newer = latest_per_key(log.where(~F.col(BATCH).isin(held)), self.keys, [BATCH])
         kept = base.join(newer.select(*self.keys), self.keys, "left_anti")
         return kept.unionByName(newer.drop(BATCH))
 
     def compact(self) -> int:
-        """Fold all batches written so far into a new base; returns the last batch id it holds."""
+        """Fold all batches written so far into a new base; returns how many batches it holds."""
         log = self._log()
-        last = None if log is None else log.agg(F.max(BATCH)).first()[0]
-        if last is None:
+        found = [] if log is None else sorted(row[0] for row in log.select(BATCH).distinct().collect())
+        folded = self.base.latest()
+        held = [] if folded is None else [int(n) for n in folded["tag"].split(",") if n]
+        found = sorted({*found, *held})
+        if not found:
             raise ValueError(f"{self.path} holds no batch yet")
-        self.base.commit(self.read(), "overwrite", tag=str(last))
-        return last
+        self.base.commit(self.read(), "overwrite", tag=",".join(map(str, found)))
+        return len(found)
+
+    def _sequence(self, run: str, batch_id: int) -> int:
+        """The batch's sequence number: the one it has, or the next."""
+        names = self._names()
+        own = names.where((F.col("run") == run) & (F.col("batch_id") == batch_id)).first()
+        if own is not None:
+            return own[BATCH]
+        last = names.agg(F.max(BATCH)).first()[0]
+        number = 0 if last is None else last + 1
+        record = self.spark.createDataFrame([(run, batch_id, number)], NAMES).coalesce(1)
+        record.write.mode("errorifexists").parquet(f"{self.path}/names/number={number}")
+        return number
+
+    def _names(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(NAMES).parquet(f"{self.path}/names/*")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], NAMES)
 
     def _log(self) -> DataFrame | None:
         try:
@@ -64,9 +93,10 @@ class KeyedTable:
 
 def merge_into(spark: SparkSession, target: str, changes: DataFrame, keys: list[str]) -> None:
     """The same upsert on a catalog table whose format has MERGE; `changes` holds one row per key."""
-    changes.createOrReplaceTempView("__changes")
+    view = f"changes_{uuid.uuid4().hex}"
+    changes.createOrReplaceTempView(view)
     condition = " AND ".join(f"t.{key} = s.{key}" for key in keys)
-    spark.sql(
-        f"MERGE INTO {target} t USING __changes s ON {condition} "
+    changes.sparkSession.sql(
+        f"MERGE INTO {target} t USING {view} s ON {condition} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )

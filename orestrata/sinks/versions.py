@@ -1,13 +1,14 @@
 """Tables that keep their versions, on plain Parquet folders.
 
 Each commit writes its rows to its own folder and then one commit record; readers see a version only
-through its record. An overwrite starts a new base, an append adds its folder to the base's, so an
+through its record, which names the folder. An overwrite starts a new base, an append adds its folder to the base's, so an
 append costs what it adds. Meant for one writer at a time; with a table format on the classpath use
 its own commits and `VERSION AS OF`.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,7 @@ from orestrata.sinks.tables import MONTH, write_files
 VERSION = "table_version"
 COMMITS = (
     "version bigint, committed_at timestamp, operation string, base_version bigint, "
-    "parent_version bigint, row_count bigint, tag string"
+    "parent_version bigint, row_count bigint, tag string, folder string"
 )
 
 
@@ -43,9 +44,11 @@ class VersionedTable:
         last = self.latest()
         version = 1 if last is None else last["version"] + 1
         base = version if last is None or operation == "overwrite" else last["base_version"]
-        write_files(df, self._folder(version), partition_by)
+        # A folder of its own: a commit that loses the race for its number leaves the winner's rows alone.
+        folder = f"{version}-{uuid.uuid4().hex}"
+        write_files(df, f"{self.path}/data/{VERSION}={folder}", partition_by)
         # Counted from the file footers; no column is read.
-        written = self.spark.read.schema(df.schema).parquet(self._folder(version)).count()
+        written = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{VERSION}={folder}").count()
         record = (
             version,
             datetime.now(timezone.utc),
@@ -54,14 +57,12 @@ class VersionedTable:
             None if last is None else last["version"],
             written,
             tag,
+            folder,
         )
         commit = self.spark.createDataFrame([record], COMMITS).drop("version").coalesce(1)
         commit.write.mode("errorifexists").parquet(f"{self.path}/commits/version={version}")
         return version
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/{VERSION}={version}"
-
     def commits(self) -> DataFrame:
         """One row per version."""
         try:
@@ -81,7 +82,8 @@ class VersionedTable:
         chosen = self.latest() if version is None else self.commits().where(F.col("version") == version).first()
         if chosen is None:
             raise ValueError(f"{self.path} has no version {version or 1}")
-        folders = [self._folder(v) for v in range(chosen["base_version"], chosen["version"] + 1)]
+        parts = self.commits().where(F.col("version").between(chosen["base_version"], chosen["version"]))
+        folders = [f"{self.path}/data/{VERSION}={row[0]}" for row in parts.orderBy("version").select("folder").collect()]
         return self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders).drop(VERSION)
 
     def read_as_of(self, moment: datetime | str) -> DataFrame:

@@ -112,7 +112,8 @@ def upsert(
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Off by default behind stateful operators; the batch itself is fixed by now.
         with conf(batch.sparkSession, spark__sql__adaptive__enabled="true"):
-            table.upsert(transform(batch), batch_id, order)
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # new with each checkpoint
+            table.upsert(transform(batch), batch_id, order, run or "")
 
     return _trigger(df.writeStream.foreachBatch(apply).outputMode("append"), once, checkpoint).start()
 
@@ -149,8 +150,8 @@ def sales_enriched_bounded(
     products: DataFrame,
     customers: DataFrame,
     item_time: str,
-    lateness: str = "1 hour",
-    line_within: str = "1 day",
+    lateness: str,
+    line_within: str,
 ) -> DataFrame:
     """The fact with bounded state: lines must follow their order within a time, dimensions are tables.
 

@@ -120,8 +120,11 @@ def test_lineage(spark):
     }
     upstream = reach.where("target = 'gold_customer_360'").count()
     assert upstream == 13
-    with pytest.raises(ValueError, match="deeper"):
-        governance.closure(edges, steps=2)
+
+
+def test_closure_of_a_cycle_ends(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "source string, target string")
+    assert governance.closure(edges).count() == 9
 
 
 def test_declared_references(spark):

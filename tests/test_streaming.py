@@ -158,7 +158,7 @@ def test_bounded_join_keeps_lines_near_their_order(spark, folder):
     clean.orders.write.parquet(f"{folder}/orders")
     items = sources.file_stream(spark, f"{folder}/items", spark.read.parquet(f"{folder}/items").schema)
     orders = sources.file_stream(spark, f"{folder}/orders", spark.read.parquet(f"{folder}/orders").schema)
-    joined = pipeline.sales_enriched_bounded(items, orders, clean.products, clean.customers, "sold_at")
+    joined = pipeline.sales_enriched_bounded(items, orders, clean.products, clean.customers, "sold_at", "1 hour", "1 day")
     with pipeline.state_settings(spark, 2):
         pipeline.append(joined, f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
     assert rows(spark.read.parquet(f"{folder}/out"), "order_item_id") == [(1000,), (1001,), (1002,)]
