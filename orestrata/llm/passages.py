@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm import blocks
-from orestrata.llm.shared import cut, key_filter, may_hold
+from orestrata.llm.shared import cut, hot_join, key_filter, may_hold
 
 PASSAGE = 50
 GRAM = 11
@@ -184,12 +184,17 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = rows.where("id is not null")
     all_anchors = own.mapInArrow(_anchor_rows, "id bigint, place int, l int, r int, gram bigint, context bigint")
     all_anchors = cut(all_anchors)
+    total = all_anchors.count()
     grams = all_anchors.groupBy("gram").agg(
         F.count("*").alias("n"), (F.min("context") < F.max("context")).alias("differ")
     )
-    twice = cut(all_anchors.join(grams.where("n > 1").select("gram", "differ"), "gram"))
+    grams = cut(grams.where("n > 1"))
+    twice = cut(hot_join(all_anchors, grams.select("gram", "n", "differ"), ["gram"], total))
     contexts = twice.groupBy("gram", "context", "differ").agg(
-        ((F.min("id") < F.max("id")) | (F.min("place") < F.max("place"))).alias("whole"), F.min("l").alias("l"), F.min("r").alias("r")
+        ((F.min("id") < F.max("id")) | (F.min("place") < F.max("place"))).alias("whole"),
+        F.min("l").alias("l"),
+        F.min("r").alias("r"),
+        F.count("*").alias("n"),
     )
     contexts = cut(contexts)
     edges = contexts.where("differ").select("gram", "context")
@@ -216,7 +221,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _neighbours(suffixes, ["gram", "before", "after", "context"])
     )
     spans = contexts.where("whole").select("gram", "context", "l", "r").unionByName(matches).distinct()
-    placed = twice.select("id", "place", "gram", "context").join(spans, ["gram", "context"])
+    reach = spans.groupBy("gram", "context").agg(F.collect_list(F.struct("l", "r")).alias("reach"))
+    reach = cut(reach.join(contexts.select("gram", "context", "n"), ["gram", "context"]))
+    placed = hot_join(twice.select("id", "place", "gram", "context"), reach, ["gram", "context"], total)
+    placed = placed.select("id", "place", F.inline("reach"))
     placed = placed.groupBy("id").agg(
         F.collect_set(F.struct((F.col("place") - F.col("l")).alias("a"), (F.col("place") + F.col("r")).alias("b"))).alias("spans")
     )

@@ -59,6 +59,21 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     return found.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("root").alias("root"))
 
 
+HOT_SHARE = 1000
+
+
+def hot_join(rows: DataFrame, facts: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Inner join of `rows` with `facts`, one row for each key with `n`, how many of the `total` rows have it; `n` goes.
+
+    Keys of more than one row in HOT_SHARE are fewer than HOT_SHARE, so their facts are broadcast and their rows stay
+    where they are. All others are joined by shuffle, where no key is large.
+    """
+    hot = F.col("n") * HOT_SHARE > total
+    few = F.broadcast(facts.where(hot).drop("n"))
+    cold = rows.join(F.broadcast(facts.where(hot).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(cold.join(facts.where(~hot).drop("n"), keys))
+
+
 FILTER_BITS = 1 << 25
 
 
