@@ -80,8 +80,12 @@ def occurrences(text: Column, characters: str) -> Column:
 def repeated_words(found: Column) -> Column:
     """How many words lie in a window of WINDOW words that occurs twice or more; `found` is an array of words."""
     starts = F.sequence(F.lit(0), F.size(found) - WINDOW)
-    windows = F.transform(starts, lambda i: F.xxhash64(F.slice(found, i + 1, F.lit(WINDOW))))
-    covered = let(windows, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(F.lit(0)))
+    hashed = F.transform(found, lambda x: F.xxhash64(x))
+
+    def windows(of: Column) -> Column:
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(of, i + 1, F.lit(WINDOW))))
+
+    covered = let(let(hashed, windows), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(F.lit(0)))
     return F.when(F.size(found) > WINDOW, covered).otherwise(F.lit(0)).cast("long")
 
 
