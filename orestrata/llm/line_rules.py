@@ -70,11 +70,15 @@ def words(text: Column) -> Column:
 
 def word_chars(text: Column) -> Column:
     """Characters that are in words."""
-    return F.length(F.translate(text, BLANKS, "")).cast("long")
+    return F.length(F.regexp_replace(text, _BLANK, "")).cast("long")
 
 
 def occurrences(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+    return F.regexp_count(text, F.lit(f"[{characters}]")).cast("long")
+
+
+def blank(line: Column) -> Column:
+    return F.ltrim(line, F.lit(BLANKS)) == ""
 
 
 def repeated_words(found: Column) -> Column:
@@ -114,17 +118,19 @@ def _covered(hashes: Column) -> Column:
 
 def verdict(line: Column) -> Column:
     """The rule that a line fails by, `blank` for one without words, null for a good line."""
-    solid = F.length(F.translate(line, BLANKS, ""))
-    count = F.length(line) - F.length(F.translate(line, " \t", "")) + 1  # words, or a few more
+    solid = word_chars(line)
+    size = F.length(line)  # words, or a few more:
+    count = 2 * size - F.length(F.replace(line, F.lit(" "), F.lit(""))) - F.length(F.replace(line, F.lit("\t"), F.lit(""))) + 1
+    symbols = occurrences(line, SYMBOLS)
     bars = occurrences(line, _SEPARATORS)
     lowered = F.lower(line)
     furniture = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(x)) for x in BOILERPLATE])
     end = F.substring(F.rtrim(line, F.lit(BLANKS + _CLOSING)), -1, 1)
     return (
-        F.when(solid == 0, "blank")
+        F.when(blank(line), "blank")
         .when((bars >= 3) & (bars * 3 >= count), "navigation")
         .when(furniture, "boilerplate")
-        .when(occurrences(line, SYMBOLS) * 10 >= solid, "punctuation")
+        .when((symbols > 0) & (symbols * 10 >= solid), "punctuation")
         .when((count >= 10) & ~end.isin(_ENDS), "punctuation")
     )
 
@@ -138,7 +144,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeated"))
 
     def of_lines(lines: Column) -> Column:
-        full = F.filter(lines, lambda x: F.translate(x, BLANKS, "") != "")
+        full = F.filter(lines, lambda x: ~blank(x))
         copies = let(full, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
         good = F.filter(lines, lambda x: F.coalesce(verdict(x), F.lit("blank")) == "blank")
         return F.struct(copies.alias("copies"), F.array_join(good, "\n").alias("cleaned"))
