@@ -5,15 +5,16 @@ target stops at `CAP` times its source's words, and what is over is shared again
 
 Rates: among all document rates whose words add up to the targets, those closest to one in relative entropy are exponential in
 the constrained quantity, rate = exp(l * size / mean size of the source), here cut at CAP, with one multiplier l for each source's
-token constraint. Newton iterations on the convex dual find the multipliers: each is one distributed sum of words and slopes
-over cells (source, size, number of documents); a step that leaves the bracket known so far is halved instead.
+token constraint. Newton iterations on the convex dual find the multipliers: each sums words and slopes over the
+cells (source, size, number of documents) of every source; a step that leaves the bracket known so far is halved instead.
 
 Copies: the documents of a cell have one rate, so a cell gets round(rate x number) copies; what rounding leaves is
 carried from the largest size of a source to the smallest, so a source ends within half of its smallest document. All
 documents of a cell get the same whole number of copies, and those of smallest hash one more. Nothing exceeds CAP copies.
 
 Scale: one pass counts words; everything after works on cells. The smallest hashes of a cell are found in
-sub-cells of about `SUB` documents, so that a hot cell is no single task. A task holds one source's distinct sizes.
+sub-cells of about `SUB` documents, so that a hot cell is no single task. A task holds one source's distinct sizes, which
+are less than the root of twice its words (5 million for 10^13 words).
 
 Edge cases: a null or empty text has size 0 and no copies, target or not; a source without words has target 0. Rows that share an id
 are documents each; equal rows get equal copies. Null sources are one source, the last. An empty table gives an empty
@@ -35,6 +36,8 @@ CAP = 3
 SUB = 10_000
 TOLERANCE = 1e-10
 STEPS = 100
+STEPS_AT_ONCE = 10
+_TOP = float(np.log(CAP))
 
 
 def _size(text: Column) -> Column:
@@ -71,40 +74,45 @@ def _targets(sources: DataFrame) -> DataFrame:
     return numbered.select("source", "no", "source_size", target.alias("target"))
 
 
-def _multipliers(cells: DataFrame, sources: DataFrame) -> DataFrame:
-    """(no, l): safeguarded Newton on the dual, all sources at once. `cells`: (no, size, n, x)."""
-    ends = cells.groupBy("no").agg(F.min("x").alias("x0"))
-    top = np.log(CAP)
-    state = sources.where("target > 0").join(ends, "no").select(
-        "no",
-        "target",
-        F.lit(0.0).alias("l"),
-        (-700.0 / F.col("x0")).alias("lo"),
-        (top / F.col("x0")).alias("hi"),
-        F.lit(False).alias("done"),
+def _step(state: DataFrame) -> DataFrame:
+    """One safeguarded Newton step on the dual, all sources at once."""
+    own = Window.partitionBy("no").orderBy("size").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    grown = F.col("n") * F.col("size") * F.exp(F.least(F.col("l") * F.col("x"), F.lit(_TOP)))
+    free = F.when(F.col("l") * F.col("x") < _TOP, grown * F.col("x")).otherwise(0.0)
+    summed = state.withColumns({"f": F.sum(grown).over(own), "slope": F.sum(free).over(own)})
+    off = F.col("f") - F.col("target")
+    bound = summed.withColumns(
+        {
+            "lo": F.when(off < 0, F.col("l")).otherwise(F.col("lo")),
+            "hi": F.when(off > 0, F.col("l")).otherwise(F.col("hi")),
+            "next": F.col("l") - off / F.col("slope"),
+        }
     )
-    state = cut(state)
-    for _ in range(STEPS):
-        open_ones = state.where("not done")
-        growth = F.exp(F.least(F.col("l") * F.col("x"), F.lit(top)))
-        words = F.col("n") * F.col("size")
-        sums = cells.join(open_ones.select("no", "l"), "no").groupBy("no").agg(
-            F.sum(words * growth).alias("f"),
-            F.sum(F.when(F.col("l") * F.col("x") < top, words * F.col("x") * growth).otherwise(0.0)).alias("slope"),
-        )
-        off = F.col("f") - F.col("target")
-        lo = F.when(off < 0, F.col("l")).otherwise(F.col("lo"))
-        hi = F.when(off > 0, F.col("l")).otherwise(F.col("hi"))
-        step = F.col("l") - off / F.col("slope")
-        stepped = state.join(sums, "no", "left").select(
-            "no", "target", "l", lo.alias("lo"), hi.alias("hi"),
-            F.when((F.col("slope") > 0) & (step > lo) & (step < hi), step).otherwise((lo + hi) / 2).alias("next"),
-            (F.col("done") | (F.abs(off) <= TOLERANCE * F.col("target")) | (hi - lo <= 1e-14 * F.abs(hi))).alias("done"),
-        )
-        state = cut(stepped.select("no", "target", F.when(F.col("done"), F.col("l")).otherwise(F.col("next")).alias("l"), "lo", "hi", "done"))
+    near = F.abs(off) <= TOLERANCE * F.col("target")
+    narrow = F.col("hi") - F.col("lo") <= 1e-14 * F.abs("hi")
+    moved = F.when((F.col("slope") > 0) & (F.col("next") > F.col("lo")) & (F.col("next") < F.col("hi")), F.col("next"))
+    ended = bound.withColumn("done", F.col("done") | near | narrow)
+    moved = F.coalesce(moved, (F.col("lo") + F.col("hi")) / 2)
+    return ended.withColumn("l", F.when(F.col("done"), F.col("l")).otherwise(moved)).drop("f", "slope", "next")
+
+
+def _multipliers(cells: DataFrame) -> DataFrame:
+    """`cells` (no, size, n, target, x) with their source's multiplier l.
+
+    The cells carry the state of their source, and lie partitioned and sorted by it, so that steps need no exchange.
+    """
+    least = F.min("x").over(Window.partitionBy("no").orderBy("size"))
+    state = cells.withColumn("x0", least).select(
+        "no", "size", "n", "target", "x",
+        F.lit(0.0).alias("l"), (-700.0 / F.col("x0")).alias("lo"), (_TOP / F.col("x0")).alias("hi"), F.lit(False).alias("done"),
+    )
+    for _ in range(0, STEPS, STEPS_AT_ONCE):
+        for _ in range(STEPS_AT_ONCE):
+            state = _step(state)
+        state = cut(state)
         if state.where("not done").isEmpty():
             break
-    return state.select("no", "l")
+    return state
 
 
 def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
@@ -119,23 +127,24 @@ def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"no": cells["no"], "size": cells["size"], "n": cells["n"], "copies": np.array(copies, "int64")})
 
 
-def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """For each (source, size): source_size, target, base copies, and the largest hash that gets one more."""
-    rows = docs.select(
-        F.col(source_col).alias("source"), _size(F.col(text_col)).alias("size"), F.xxhash64(id_col, text_col).alias("draw")
-    )
-    rows = cut(rows)
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """A row (id, source, size, draw) for each document."""
+    size, draw = _size(F.col(text_col)), F.xxhash64(id_col, text_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), draw.alias("draw"))
+
+
+def _plan(rows: DataFrame) -> DataFrame:
+    """For each (source, size) of sized rows: source_size, target, base copies, and the largest hash that gets one more."""
     counted = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
-    sources = cut(_targets(totals.select("source", "source_size")))
+    sources = _targets(totals.select("source", "source_size"))
     named = sources.withColumnRenamed("source", "named")
     cells = counted.join(named, counted["source"].eqNullSafe(named["named"]))
     mean = F.col("source_size") / F.sum("n").over(Window.partitionBy("no"))
     cells = cut(cells.select("source", "no", "size", "n", "source_size", "target", (F.col("size") / mean).alias("x")))
-    full = cells.where("size > 0")
-    multipliers = _multipliers(full.select("no", "size", "n", "x"), sources)
+    solved = _multipliers(cells.where("size > 0").select("no", "size", "n", "target", "x"))
     rate = F.least(F.lit(float(CAP)), F.exp(F.least(F.col("l") * F.col("x"), F.lit(2.0))))
-    rated = full.join(multipliers, "no").select("no", "size", "n", rate.alias("rate"))
+    rated = solved.select("no", "size", "n", rate.alias("rate"))
     rounded = rated.groupBy("no").applyInPandas(_rounded, "no bigint, size bigint, n bigint, copies bigint")
     rounded = rounded.select("no", "size", F.expr("copies div n").alias("base"), (F.col("copies") % F.col("n")).alias("extra"))
     plan = cut(cells.join(rounded, ["no", "size"], "left").fillna(0, ["base", "extra"]))
@@ -156,10 +165,9 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     return plan.join(last, ["no", "size"], "left").select("source", "size", "source_size", "target", "base", "last")
 
 
-def _with_copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, columns: list[Column]) -> DataFrame:
-    plan = cut(_plan(docs, id_col, text_col, source_col))
+def _copied(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """`rows`, with source, size and draw of each document, and what the plan says of them."""
     plan = plan.select(*[F.col(c).alias(f"__plan_{c}") for c in plan.columns])
-    rows = docs.select(*columns, _size(F.col(text_col)).alias("__size"), F.xxhash64(id_col, text_col).alias("__draw"))
     same = rows["__source"].eqNullSafe(plan["__plan_source"]) & (rows["__size"] == plan["__plan_size"])
     more = F.coalesce((F.col("__draw") <= F.col("__plan_last")).cast("long"), F.lit(0))
     return rows.join(plan, same).withColumn("__copies", F.col("__plan_base") + more)
@@ -167,10 +175,11 @@ def _with_copies(docs: DataFrame, id_col: str, text_col: str, source_col: str, c
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row for each row of `docs`: id_col, size, source_size, target, taken, copies."""
-    columns = [F.col(id_col), F.col(source_col).alias("__source")]
-    found = _with_copies(docs, id_col, text_col, source_col, columns)
+    rows = cut(_sized(docs, id_col, text_col, source_col))
+    named = rows.select("id", *[F.col(c).alias(f"__{c}") for c in ("source", "size", "draw")])
+    found = _copied(named, cut(_plan(rows)))
     return found.select(
-        id_col,
+        F.col("id").alias(id_col),
         F.col("__size").alias("size"),
         F.col("__plan_source_size").alias("source_size"),
         F.col("__plan_target").alias("target"),
@@ -181,7 +190,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with all their columns."""
-    columns = [*[F.col(c) for c in docs.columns], F.col(source_col).alias("__source")]
-    found = _with_copies(docs, id_col, text_col, source_col, columns).where("__copies > 0")
+    plan = cut(_plan(cut(_sized(docs, id_col, text_col, source_col))))
+    draw = F.xxhash64(id_col, text_col).alias("__draw")
+    rows = docs.select(*docs.columns, F.col(source_col).alias("__source"), _size(F.col(text_col)).alias("__size"), draw)
+    found = _copied(rows, plan).where("__copies > 0")
     times = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
     return found.withColumn("__time", times).select(*docs.columns)
