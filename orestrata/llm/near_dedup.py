@@ -12,9 +12,10 @@ coordinate empty are thrown again up to twice the rank. Two texts agree in a coo
 their similarity.
 
 Candidates: 24 bands of 5 coordinates (a pair at 0.8 shares a band with probability 0.99993, and 8 on average).
-Members of a bucket are not paired with each other: each is compared, whole texts and exactly, with five
-pivots of each of its buckets, the member that meets most others and four that differ from bucket to bucket. So the
-number of comparisons is in proportion to the documents, whatever the size of a group.
+Each member of a bucket is compared, whole texts and exactly, with five pivots of the bucket, the member that meets most
+others and four that differ from bucket to bucket: in proportion to the documents, whatever the size of a group. Only
+where a bucket's members then still lie in several components, those outside its largest one are compared with the
+members of other components. So no class is lost that the bands can show.
 
 Scale: equal texts are merged first by digest, so copies never meet; every join is an equi-join on a digest, band
 or id that adaptive execution may split; nothing is collected.
@@ -27,12 +28,13 @@ An empty table gives an empty result. Other columns are never read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orestrata.llm import blocks
 from orestrata.llm.shared import components, cut
@@ -41,6 +43,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
+ASKS = 8
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Chances of at most 0, 1, 2 ... darts in a cell of area one, as 64-bit thresholds.
 _TERMS = np.cumprod(np.concatenate([[np.exp(-1.0)], 1.0 / np.arange(1, 18)]))
@@ -166,6 +169,50 @@ def star_pairs(shared: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
+def linked(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(links, roots): the pairs (a, b) found near, and a row (node, root) for each of their nodes.
+
+    `shared` has (band, rep, n); `verified` keeps the near ones of pairs. After the pivots, buckets whose members lie in
+    more than one component go on: members outside the bucket's largest component meet all members of other components,
+    at first ASKS of them in each bucket, then twice as many in each round, until all have. So of any two members of a
+    bucket that end in different classes, the similarity was computed.
+    """
+    pairs = cut(star_pairs(shared))
+    links = cut(verified(pairs))
+    roots = cut(components(links, "a", "b"))
+    known = roots.withColumnRenamed("node", "rep")
+    rest = shared.select("band", "rep").join(known, "rep", "left")
+    rest = rest.select("band", "rep", F.coalesce("root", "rep").alias("part"), F.lit(False).alias("met"))
+    most = ASKS
+    while True:
+        parts = rest.groupBy("band", "part").agg(F.count("*").alias("n"))
+        parts = parts.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
+        rest = cut(rest.join(parts.where("parts > 1").select("band", "main"), "band"))
+        place = F.row_number().over(Window.partitionBy("band").orderBy("rep"))
+        asks = rest.where("part <> main and not met").withColumn("place", place).where(F.col("place") <= most)
+        asks = cut(asks.select("band", F.col("rep").alias("ask"), F.col("part").alias("ask_part")))
+        if asks.isEmpty():
+            return links, roots
+        new = rest.join(asks, "band").where("part <> ask_part")
+        new = new.select(F.least("rep", "ask").alias("a"), F.greatest("rep", "ask").alias("b")).distinct()
+        new = cut(new.join(pairs, ["a", "b"], "left_anti"))
+        found = cut(verified(new))
+        pairs, links = pairs.unionByName(new), links.unionByName(found)
+
+        part_of = rest.select("rep", "part").distinct()
+        bridges = found.join(part_of.toDF("a", "p"), "a").join(part_of.toDF("b", "q"), "b")
+        merged = cut(components(bridges, "p", "q")).toDF("part", "whole")
+        moved = roots.join(merged.withColumnRenamed("part", "root"), "root", "left")
+        moved = moved.select("node", F.coalesce("whole", "root").alias("root"))
+        first = merged.toDF("node", "root").join(roots, "node", "left_anti")
+        roots = cut(moved.unionByName(first))
+        asked = asks.select("band", F.col("ask").alias("rep"), F.lit(True).alias("asked"))
+        rest = rest.join(merged, "part", "left").join(asked, ["band", "rep"], "left").select(
+            "band", "rep", F.coalesce("whole", "part").alias("part"), (F.col("met") | F.col("asked").isNotNull()).alias("met")
+        )
+        most *= 2
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """A row for each id: (id_col, class_id, links, kept).
 
@@ -183,12 +230,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = texts_of.select("rep", F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(buckets.join(sizes, "band").select("band", "rep", "n"))
-    pairs = cut(star_pairs(shared))
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    needed = shared.select(F.col("rep").alias("id")).distinct()
     texts = rows.join(needed, "id", "left_semi").withColumn("digest", F.md5("text"))
     texts = cut(texts.dropDuplicates(["id", "digest"]).select("id", "text"))
-    links = cut(_verified(pairs, texts).where(F.col("similarity") >= similarity).select("a", "b").distinct())
-    roots = components(links, "a", "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, texts).where(F.col("similarity") >= similarity).select("a", "b").distinct()
+
+    links, roots = linked(shared, verified)
 
     ends = links.select(F.col("a").alias("rep"), "b").unionByName(links.select(F.col("b").alias("rep"), F.col("a").alias("b")))
     degree = ends.groupBy("rep").agg(F.count("*").alias("links"))

@@ -213,3 +213,11 @@ def test_personal_data(spark, none):
     assert found[1].s.split(",") == want
     assert found[2].s == "iban:5:27" and found[3].s == "" and found[4].s == "" and found[5].s == "ip:0:7,ip:8:15"
     assert personal_data.found(none).count() == 0
+
+
+def test_members_that_miss_every_pivot_are_linked(spark):
+    """A bucket of 30 in which only neighbours (0, 1), (2, 3) ... are near: hardly any pair has a pivot."""
+    shared = spark.range(30).selectExpr("7L AS band", "id AS rep", "30L AS n")
+    links, roots = near_dedup.linked(shared, lambda pairs: pairs.where("a div 2 = b div 2"))
+    assert sorted((r.a, r.b) for r in links.collect()) == [(k, k + 1) for k in range(0, 30, 2)]
+    assert sorted((r.node, r.root) for r in roots.collect()) == [(k, k - k % 2) for k in range(30)]
