@@ -15,28 +15,22 @@ from pyspark.sql import functions as F
 
 from orestrata.operators.governance import DataClass, class_for
 
-# Longer texts are counted by their SHA-256, so whole documents are not shuffled.
-HASHED_ABOVE = 64
-
 PERCENT = "decimal(5,2)"
 INTEGRAL = "integral"
 
 
-def _text(name: str) -> Column:
-    text = F.col(name).cast("string")
-    return F.when(F.length(text) > HASHED_ABOVE, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
-
-
-def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def column_values(df: DataFrame, columns: Sequence[str], hashed: bool = False) -> DataFrame:
     """(column, value, n): each distinct value of each column, null included.
 
-    Whole numbers stay numbers when all columns are; otherwise values are text.
+    Whole numbers stay numbers when all columns are; otherwise values are text, with
+    `hashed` the SHA-256 of every text, so that whole documents are not shuffled to count them.
     """
     names = list(columns)
     if all(_kind(df, name) == INTEGRAL for name in names):
         wide = df.select(*[F.col(name).cast("bigint").alias(name) for name in names])
     else:
-        wide = df.select(*[_text(name).alias(name) for name in names])
+        texts = {name: F.col(name).cast("string") for name in names}
+        wide = df.select(*[(F.sha2(text, 256) if hashed else text).alias(name) for name, text in texts.items()])
     return wide.unpivot([], names, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -46,13 +40,13 @@ def _by_kind(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
     return [names for names in (whole, [name for name in columns if name not in whole]) if names]
 
 
-def profile(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: type, records, nulls, distinct values."""
+def profile(df: DataFrame, table: str, columns: Sequence[str] | None = None, hashed: bool = False) -> DataFrame:
+    """Per column: type, records, nulls, distinct values; `hashed` for tables of long texts."""
     type_names = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     counts = []
     for names in _by_kind(df, columns or df.columns):
         counts.append(
-            column_values(df, names)
+            column_values(df, names, hashed)
             .groupBy("column")
             .agg(
                 F.sum("n").alias("records"),

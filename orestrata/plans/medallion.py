@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from orestrata.functions import money
 from orestrata.operators import bronze, enrich, gold, silver
 from orestrata.operators.quality import AcceptedValues, NotNull, Relationship, Test, Unique
-from orestrata.operators.spine import spine_of, time_spine
+from orestrata.operators.spine import FIRST_DAY, LAST_DAY, spine_of, time_spine
 from orestrata.sinks.tables import replace_monthly_table, replace_table
 from orestrata.sources.starmap import Entities
 
@@ -70,12 +71,15 @@ def side_by_side(steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFra
         return {name: run.result() for name, run in running.items()}
 
 
-def build(raw: Entities, root: str, profile: Profile = RETAIL) -> dict[str, DataFrame]:
+def build(
+    raw: Entities, root: str, profile: Profile = RETAIL, calendar: tuple[date, date] | None = (FIRST_DAY, LAST_DAY)
+) -> dict[str, DataFrame]:
     """Store every layer below `root` and return the stored tables by name.
 
     Each layer reads the stored one before it, so a lost executor costs the step it was in, and the
     fact is joined once for all marts. Orders, fact and daily mart are partitioned by month. The two
-    thin marts stay views of stored tables.
+    thin marts stay views of stored tables. The calendar has the days from the first to the last of
+    `calendar`; with None, those of the orders.
     """
     tables = raw.named("raw")
     landed = side_by_side(
@@ -96,10 +100,7 @@ def build(raw: Entities, root: str, profile: Profile = RETAIL) -> dict[str, Data
     entities = Entities(*stored.values())
     fact = replace_monthly_table(to_fact(entities), f"{root}/silver/silver_sales_enriched")
     tables["silver_sales_enriched"] = fact
-    if profile is RETAIL:
-        spine = time_spine(fact.sparkSession)
-    else:
-        spine = spine_of(entities.orders, "order_date")
+    spine = time_spine(fact.sparkSession, *calendar) if calendar else spine_of(entities.orders, "order_date")
     tables["time_spine_daily"] = replace_table(spine, f"{root}/silver/time_spine_daily")
     daily = replace_monthly_table(gold.daily_sales(fact, profile.total_type), f"{root}/gold/gold_daily_sales")
     tables["gold_daily_sales"] = daily

@@ -480,7 +480,7 @@ ORACLE: dict[str, str] = {
                 f"SELECT '{m}' AS mart, 'stored' AS reference, 'staged' AS other, "
                 f"(SELECT count(*) FROM (SELECT * FROM gold_{m} EXCEPT SELECT * FROM gold_{m})) AS ref_only, "
                 f"(SELECT count(*) FROM (SELECT * FROM gold_{m} EXCEPT SELECT * FROM gold_{m})) AS other_only, "
-                "'PASS' AS status"
+                "CAST(0 AS BIGINT) AS copies_differ, 'PASS' AS status"
                 for m in contracts.MARTS
             ]
         )
@@ -489,6 +489,7 @@ ORACLE: dict[str, str] = {
         SELECT 'daily_sales' AS mart, 'net' AS reference, 'gross' AS other,
           (SELECT count(*) FROM (SELECT * FROM gold_daily_sales EXCEPT SELECT * FROM daily_gross)) AS ref_only,
           (SELECT count(*) FROM (SELECT * FROM daily_gross EXCEPT SELECT * FROM gold_daily_sales)) AS other_only,
+          CAST(0 AS BIGINT) AS copies_differ,
           'FAIL' AS status"""),
     "except_rows": _sql(f"{_DAILY} EXCEPT SELECT * FROM daily_gross"),
     "reconcile_delta": _sql("""
@@ -547,14 +548,14 @@ ORACLE: dict[str, str] = {
         'WHERE assigned) AS n_classes, CAST(sum("columns") AS BIGINT) AS n_columns FROM scorecard',
         _scores(),
         _SCORECARD,
-        _detected(0.05),
+        _detected(0.8),
     ),
-    "data_classes": _sql("SELECT * FROM detected WHERE name_matches", _detected(0.05)),
-    "data_classes_by_value": _sql("SELECT * FROM detected", _detected(0.05)),
+    "data_classes": _sql("SELECT * FROM detected WHERE name_matches", _detected(0.8)),
+    "data_classes_by_value": _sql("SELECT * FROM detected", _detected(0.8)),
     "class_catalog": _sql(
         "SELECT data_class, string_agg(table_name || '.' || \"column\", ',' ORDER BY table_name || '.' || \"column\") "
         'AS "columns" FROM detected WHERE assigned GROUP BY 1',
-        _detected(0.05),
+        _detected(0.8),
     ),
     "mask_pii": _sql("""
         SELECT customer_id, first_name, last_name,
@@ -653,6 +654,8 @@ ORACLE: dict[str, str] = {
     "stream_enriched": _sql(_FACT),
     "stream_static_enriched": _sql(_FACT),
     "stream_gold": _sql(_CATEGORY),
+    "stream_gold_daily_sales": _sql(_DAILY),
+    "stream_gold_customer_360": _sql(_CUSTOMER),
     "customer_labels": _sql(
         "SELECT customer_id, CAST(customer_id AS VARCHAR) || '|' || email AS label FROM raw_customers"
     ),

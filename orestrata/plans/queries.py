@@ -101,7 +101,7 @@ class Data:
         """All layers as stored tables, built once per session and folder."""
         seen = (self.spark.sparkContext.applicationId, self.folder)
         if seen not in _stored:
-            _stored[seen] = medallion.build(self.raw, self.work("medallion"), LARGE)
+            _stored[seen] = medallion.build(self.raw, self.work("medallion"), LARGE, calendar=None)
         return _stored[seen]
 
     @property
@@ -435,7 +435,7 @@ def customer_360_union(d: Data) -> DataFrame:
 
 @query
 def reconcile_marts(d: Data) -> DataFrame:
-    return reconcile.reconcile(_builds(d))
+    return reconcile.reconcile(_builds(d), bag=True)
 
 
 @query
@@ -576,7 +576,7 @@ def _detected(d: Data, by_value: bool = False) -> DataFrame:
     found = []
     for name, df in d.clean.named("silver").items():
         rows = _without_stamp(df)
-        found.append(governance.detect_classes(rows, name, threshold=0.05, by_value=by_value))
+        found.append(governance.detect_classes(rows, name, by_value=by_value))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -998,6 +998,18 @@ def stream_gold(d: Data) -> DataFrame:
     return gold.category_performance(daily, LARGE.total_type)
 
 
+@query
+def stream_gold_daily_sales(d: Data) -> DataFrame:
+    return gold.daily_sales(_streamed_fact(d), LARGE.total_type)
+
+
+@query
+def stream_gold_customer_360(d: Data) -> DataFrame:
+    """Customers as upserted from their stream, with the metrics of the streamed fact."""
+    customers = _streamed(d, "customers", d.work("stream"))
+    return gold.customer_360(customers, gold.customer_metrics(_streamed_fact(d), LARGE.total_type))
+
+
 @query
 def customer_labels(d: Data) -> DataFrame:
     """Text concatenation with SQL null rules: no email, no label."""

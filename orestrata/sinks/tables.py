@@ -84,7 +84,7 @@ def drop_any(spark: SparkSession, name: str) -> None:
     """Drop whatever holds the name, view or table."""
     if not spark.catalog.tableExists(name):
         return
-    if spark.catalog.getTable(name).tableType == "VIEW":
+    if spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY"):
         spark.sql(f"DROP VIEW IF EXISTS {name}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -72,6 +72,9 @@ def test_one_cent_is_found(spark, clean):
     ]
     with pytest.raises(ValueError, match="daily_sales vs b: FAIL"):
         reconcile.require_parity(found)
+    doubled = {mart: df.unionByName(df) for mart, df in marts.items()}
+    counted = reconcile.reconcile({"a": marts, "b": doubled}, bag=True)
+    assert {r["status"] for r in counted.collect()} == {"FAIL"}
     missing = reconcile.reconcile({"a": marts, "b": {k: v for k, v in marts.items() if k != "customer_360"}})
     assert [r["status"] for r in missing.where("mart = 'customer_360'").collect()] == ["ERROR"]
     with pytest.raises(ValueError):
