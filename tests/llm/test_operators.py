@@ -221,3 +221,25 @@ def test_members_that_miss_every_pivot_are_linked(spark):
     links, roots = near_dedup.linked(shared, lambda pairs: pairs.where("a div 2 = b div 2"))
     assert sorted((r.a, r.b) for r in links.collect()) == [(k, k + 1) for k in range(0, 30, 2)]
     assert sorted((r.node, r.root) for r in roots.collect()) == [(k, k - k % 2) for k in range(30)]
+
+
+def test_pipeline_stages(spark):
+    """Each stage on all that its predecessor kept: columns stay, documents only go or repeat, ids decode to the texts."""
+    import hashlib
+
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).checkpoint()
+        found = [r.doc_id for r in docs.select("doc_id").collect()]
+        assert docs.columns == columns and set(found) <= ids
+        assert name == "mix" or len(found) == len(set(found))
+        assert name != "lines" or set(found) == ids
+        ids = set(found)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    texts = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect()}
+    rows = last.select("doc_id", "decoded_sha256").collect()
+    assert len(rows) == docs.count() > 0 and all(texts[r.doc_id] == r.decoded_sha256 for r in rows)
