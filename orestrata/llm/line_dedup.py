@@ -5,7 +5,8 @@ shorter line is one run. Two lines are linked if the Jaccard similarity of these
 connected components; the first line of a class, by document id and place, is kept and all others are removed.
 
 Signatures have 40 minima of multiplied 32-bit hashes, cut into 10 bands of 4 (a pair at 0.8 shares a band with
-probability 0.995, at 0.9 with 0.99997). Members of a bucket are compared with five pivots of it, see `near_dedup`. Candidates
+probability 0.995, at 0.9 with 0.99997). Members of a bucket are compared with five pivots of it, and what then lies in several
+components goes on until any two members of different classes were compared, see `near_dedup.linked`. Candidates
 are verified exactly from their characters.
 
 Scale: equal lines have one 64-bit hash and are one node, so copies cost a row each and never meet. Band keys are merged where they
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm import blocks
-from orestrata.llm.near_dedup import star_pairs
-from orestrata.llm.shared import components, cut, key_filter, may_hold
+from orestrata.llm.near_dedup import linked
+from orestrata.llm.shared import cut, key_filter, may_hold
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -154,8 +155,7 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = buckets.join(mixed.select("band"), "band").distinct()
     shared = cut(shared.select("band", F.col("hash").alias("rep")))
     sizes = shared.groupBy("band").agg(F.count("*").alias("n"))
-    pairs = cut(star_pairs(shared.join(sizes, "band")))
-    needed = cut(pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct())
+    needed = cut(shared.select(F.col("rep").alias("hash")).distinct())
     held = docs.sparkSession.sparkContext.broadcast(key_filter(needed, "hash"))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +171,14 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = cut(texts.join(needed, "hash", "left_semi").groupBy("hash").agg(F.max("text").alias("text")))
     left = texts.select(F.col("hash").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("hash").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    links = both.mapInArrow(_similarities, "a bigint, b bigint, similarity double")
-    roots = components(links.where(F.col("similarity") >= similarity), "a", "b").withColumnRenamed("node", "hash")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+        near = both.mapInArrow(_similarities, "a bigint, b bigint, similarity double")
+        return near.where(F.col("similarity") >= similarity).select("a", "b")
+
+    _, roots = linked(shared.join(sizes, "band"), verified)
+    roots = roots.withColumnRenamed("node", "hash")
 
     classed = lines.select("id", "line", "hash").join(roots, "hash", "left")
     classed = classed.select("id", "line", F.coalesce("root", "hash").alias("class_id"))

@@ -187,6 +187,27 @@ def test_lines(odd, none):
     assert line_dedup.classified(none).count() == 0
 
 
+def test_lines_that_miss_every_pivot_are_linked(spark):
+    """200 variants of one line, two by two just near; all share buckets, so most pairs have no pivot of a bucket in them."""
+    draw = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    template = "".join(draw.choices(letters, k=100))
+    texts = []
+    for _ in range(100):
+        joint = "".join(draw.choices(letters, k=2))
+        texts += [template + joint + "".join(draw.choices(letters, k=10)) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    runs = [{x[i : i + 8] for i in range(len(x) - 7)} for x in texts]
+    first = list(range(200))
+    for i, a in enumerate(runs):
+        for j in range(i):
+            if len(a & runs[j]) >= 0.8 * len(a | runs[j]):
+                first = [first[j] if k == first[i] else k for k in first]
+    assert len(set(first)) <= 100
+    found = by_id(line_dedup.classified(docs))
+    assert [found[i].first_id for i in range(200)] == [first.index(k) for k in first]
+
+
 def test_passages(odd, none):
     found = by_id(passages.repeated(odd))
     assert len(found) == 10
