@@ -2,7 +2,8 @@
 
 Patterns propose spans, leftmost and without overlap within a kind; validators confirm them: an ip has parts of at
 most 255, a card 12 to 19 digits that pass Luhn, a phone 9 to 15 digits, an iban passes mod 97. A proposal that fails
-is dropped and not tried again shorter. Each confirmed span has a score: a prior of its kind, plus `NEAR` if one of the kind's
+is dropped and not tried again shorter. An iban has its country's length, so what follows a blank is never part of it; only a
+country code that is not in `IBAN_LENGTHS` takes in all that may belong to it. Each confirmed span has a score: a prior of its kind, plus `NEAR` if one of the kind's
 context words stands within `REACH` characters before or after it, at most 1. An iban is reported from a score of 0.5 on;
 the four base kinds whatever their score.
 
@@ -29,6 +30,17 @@ THRESHOLD = 0.5
 KINDS = ["email", "ip", "card", "phone", "iban"]
 BASE = KINDS[:4]
 
+# How long the ibans of each country are.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_COUNTRIES = f"(?:{'|'.join('|'.join(codes.split()) for codes in IBAN_LENGTHS.values())})"
+_IBANS = "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
+_OTHER_IBANS = rf"(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!{_COUNTRIES}[0-9]{{2}}))?[A-Z0-9]){{11,30}}+"
+
 # What each kind looks like. \G lets a match begin where the one before ended.
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
@@ -36,7 +48,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS}|{_OTHER_IBANS})(?![A-Za-z0-9])",
 }
 # A text is searched for a kind only if it matches this.
 _NEEDED = {"email": "@", "phone": "+"}

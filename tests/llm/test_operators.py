@@ -236,6 +236,17 @@ def test_personal_data(spark, none):
     assert personal_data.found(none).count() == 0
 
 
+def test_ibans_before_other_words(spark):
+    """Whatever follows a blank is no part of an iban; a code without a known length takes in all that may belong to it."""
+    grouped, compact, british, other = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "DZ580002100001113000000570"
+    texts = [f"{one}{tail}" for one in (grouped, compact) for tail in (" Please pay", " BIC COBADEFF", " 2024", " 7", ", A", "")]
+    texts += [f"{grouped} {british} {compact} {grouped}", f"REF AB12 {grouped} NOW", f"{other} and", f"{grouped}1", f"{grouped[:-1]}1 Please"]
+    wanted = [[one] for one in (grouped, compact) for _ in range(6)] + [[grouped, british, compact, grouped], [grouped], [other], [], []]
+    found = by_id(personal_data.found(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")))
+    for i, text in enumerate(texts):
+        assert [text[s.start : s.end] for s in found[i].found if s.kind == "iban"] == wanted[i], text
+
+
 def test_members_that_miss_every_pivot_are_linked(spark):
     """A bucket of 30 in which only neighbours (0, 1), (2, 3) ... are near: hardly any pair has a pivot."""
     shared = spark.range(30).selectExpr("7L AS band", "id AS rep", "30L AS n")
