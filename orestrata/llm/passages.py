@@ -11,6 +11,10 @@ anchor, and its 50 words lie within 39 words before and 50 words after it.
    before and after exchanged. Each suffix is compared with its `NEIGHBOURS` next ones in the order, the match extended left and right; a match
    of 50 words or more is a repeated passage. The order is cut into ranges, one a task; where ranges
    meet, their first and last suffixes are compared in a step of their own, a few rows for each range.
+4. A gram of more contexts than a suffix has neighbours may hold matches between others. The next suffix in an order has the longest
+   match on that order's side, so the two orders bound the windows of 50 words that a suffix can share with any other. Where
+   matches leave such a window of a suffix open, the gram's suffixes give a hash for each window within their bounds, and a
+   window found in two contexts is repeated. So nothing rests on which suffixes are neighbours.
 
 Scale: anchors are about 1 in 20 words, grouped by hash; contexts are made, in a second reading of the texts, only for differing
 ones, found through a filter of bounded size. Equal contexts are one row, so copies never meet, and a hot gram is split by
@@ -121,8 +125,12 @@ def _common(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.
     return np.logical_and.accumulate(same, axis=1).sum(axis=1)
 
 
-def _compared(table: pa.Table) -> pa.RecordBatch:
-    """Repeated spans (gram, context, l, r) from comparing sorted suffixes with the next ones."""
+def _compared(table: pa.Table, side: str, ends: bool = False) -> pa.RecordBatch:
+    """Repeated spans (gram, context, l, r) from comparing sorted suffixes with the next ones, and bounds.
+
+    A bound is the longest match of a suffix on the side it is sorted by first; the other of l and r is -1. Suffixes whose gram
+    is whole in the table and has few enough contexts need none; `ends` says that grams are not whole.
+    """
     gram, context = (table.column(c).to_numpy() for c in ("gram", "context"))
     before, n_before = _matrix(table.column("before"), BEFORE)
     after, n_after = _matrix(table.column("after"), AFTER)
@@ -136,16 +144,23 @@ def _compared(table: pa.Table) -> pa.RecordBatch:
         long = left + right >= PASSAGE
         for k in (i[long], j[long]):
             out.append((gram[k], context[k], left[long].astype(np.int32), right[long].astype(np.int32)))
+        if step == 1 and len(gram):
+            most = np.zeros(len(gram), np.int32)
+            np.maximum.at(most, np.concatenate([i, j]), np.tile(right if side == "after" else left, 2).astype(np.int32))
+            _, of, n = np.unique(gram, return_inverse=True, return_counts=True)
+            k = np.flatnonzero((most > 0) & (ends | (n[of] > NEIGHBOURS + 1) | (gram == gram[0]) | (gram == gram[-1])))
+            none = np.full(len(k), -1, np.int32)
+            out.append((gram[k], context[k], *((none, most[k]) if side == "after" else (most[k], none))))
     columns = [pa.array(np.concatenate([x[c] for x in out])) for c in range(4)]
     return pa.RecordBatch.from_arrays(columns, ["gram", "context", "l", "r"])
 
 
 def _neighbours(suffixes: DataFrame, order: list[str]) -> DataFrame:
-    """(gram, context, l, r) of all matches between near neighbours in the given order."""
+    """(gram, context, l, r) of all matches between near neighbours in the given order, and bounds, see `_compared`."""
     ranged = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Matches, and the first and last suffixes of the range (l is -1 for them)."""
+        """Matches and bounds, and the first and last suffixes of the range (l and r are -1 for them)."""
         names = ["gram", "context", "l", "r", "before", "after"]
         tail = first = None
         for batch in batches:
@@ -155,7 +170,7 @@ def _neighbours(suffixes: DataFrame, order: list[str]) -> DataFrame:
             elif first.num_rows < NEIGHBOURS:
                 first = pa.concat_tables([first, table.slice(0, NEIGHBOURS - first.num_rows)])
             table = table if tail is None else pa.concat_tables([tail, table])
-            found = _compared(table)
+            found = _compared(table, order[1])
             none = pa.nulls(found.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([*found.columns, none, none], names)
             tail = table.slice(max(0, table.num_rows - NEIGHBOURS))
@@ -167,15 +182,63 @@ def _neighbours(suffixes: DataFrame, order: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([columns[0], columns[1], minus, minus, columns[2], columns[3]], names)
 
     found = cut(ranged.mapInArrow(work, "gram bigint, context bigint, l int, r int, before binary, after binary"))
-    edges = found.where("l < 0").select("gram", "context", "before", "after").distinct().orderBy(*order).coalesce(1)
+    edges = found.where("l < 0 and r < 0").select("gram", "context", "before", "after").distinct().orderBy(*order).coalesce(1)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [pa.Table.from_batches([b]) for b in batches]
         if table:
-            yield _compared(pa.concat_tables(table))
+            yield _compared(pa.concat_tables(table), order[1], True)
 
     met = edges.mapInArrow(meet, "gram bigint, context bigint, l int, r int")
-    return found.where("l >= 0").select("gram", "context", "l", "r").unionByName(met)
+    return found.where("l >= 0 or r >= 0").select("gram", "context", "l", "r").unionByName(met)
+
+
+def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, context, l, hash, open) of each window of PASSAGE words of a suffix in `may`, that begins l words before the anchor."""
+    for batch in batches:
+        gram, context, may, opened = (batch.column(k).to_numpy() for k in range(4))
+        sums = []
+        for column, width, salt in ((batch.column(4), BEFORE, 1), (batch.column(5), AFTER, 2)):
+            words, _ = _matrix(column, width)
+            factors = blocks.mixed(np.arange(width, dtype=np.uint64) * blocks.FACTORS[20] + np.uint64(salt)) | np.uint64(1)
+            total = np.zeros((len(words), width + 1), np.uint64)
+            np.cumsum((words.astype(np.uint64) + np.uint64(1)) * factors, axis=1, out=total[:, 1:])
+            sums.append(total)
+        row, left = np.nonzero(may[:, None] >> np.arange(BEFORE + 1) & 1)
+        hashes = blocks.mixed(sums[0][row, left] + blocks.mixed(sums[1][row, PASSAGE - left] + left.astype(np.uint64)))
+        columns = [gram[row], context[row], left.astype(np.int32), hashes.view(np.int64), (opened[row] >> left & 1).astype(bool)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "context", "l", "hash", "open"])
+
+
+def _others(suffixes: DataFrame, compared: DataFrame, whole: DataFrame) -> DataFrame:
+    """(gram, context, l, r) of matches that `compared` leaves open; `whole` are the contexts that are repeated as they are."""
+    windows = F.expr(f"shiftleft(1L, l + 1) - shiftleft(1L, greatest({PASSAGE} - r, 0))")  # a bit for each l
+    done = compared.where("l >= 0 and r >= 0").select("gram", "context", windows.alias("done"))
+    done = done.unionByName(whole.select("gram", "context", F.lit(-1).cast("long").alias("done")))
+    done = done.groupBy("gram", "context").agg(F.bit_or("done").alias("done"))
+    bounds = compared.where("l < 0 or r < 0").groupBy("gram", "context").agg(
+        F.greatest(F.max("l"), F.lit(0)).alias("l"), F.greatest(F.max("r"), F.lit(0)).alias("r")
+    )
+    bounds = bounds.where(F.col("l") + F.col("r") >= PASSAGE).select("gram", "context", windows.alias("may"))
+    bounds = bounds.join(done, ["gram", "context"], "left")
+    bounds = cut(bounds.select("gram", "context", "may", F.expr("may & ~coalesce(done, 0L)").alias("open")))
+    # Only spares work, as any such filter.
+    held = suffixes.sparkSession.sparkContext.broadcast(key_filter(bounds.where("open <> 0").select("gram").distinct(), "gram"))
+
+    def of_open_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(held.value, batch.column(0).to_numpy())))
+
+    rest = suffixes.mapInArrow(of_open_grams, _SUFFIX).join(bounds, ["gram", "context"])
+    rest = rest.select("gram", "context", "may", "open", "before", "after")
+    rest = cut(rest.mapInArrow(_window_rows, "gram bigint, context bigint, l int, hash bigint, open boolean"))
+    twice = rest.groupBy("gram", "hash").agg(
+        F.min("context").alias("low"), F.max("context").alias("high"), F.count_if("open").alias("n")
+    )
+    twice = cut(twice.where("low < high and n > 0").select("gram", "hash", "n"))
+    rest = rest.where("open")
+    found = hot_join(rest, twice, ["gram", "hash"], rest.count())
+    return found.select("gram", "context", "l", (F.lit(PASSAGE) - F.col("l")).alias("r"))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,9 +280,11 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     suffixes = own.select("text").mapInArrow(again, _SUFFIX).join(edges, ["gram", "context"], "left_semi")
     suffixes = cut(suffixes.dropDuplicates(["gram", "context"]))
-    matches = _neighbours(suffixes, ["gram", "after", "before", "context"]).unionByName(
+    compared = _neighbours(suffixes, ["gram", "after", "before", "context"]).unionByName(
         _neighbours(suffixes, ["gram", "before", "after", "context"])
     )
+    others = _others(suffixes, compared, contexts.where("differ and whole"))
+    matches = compared.where("l >= 0 and r >= 0").unionByName(others)
     spans = contexts.where("whole").select("gram", "context", "l", "r").unionByName(matches).distinct()
     reach = spans.groupBy("gram", "context").agg(F.collect_list(F.struct("l", "r")).alias("reach"))
     reach = cut(reach.join(contexts.select("gram", "context", "n"), ["gram", "context"]))

@@ -216,6 +216,25 @@ def test_passages(odd, none):
     assert passages.repeated(none).count() == 0
 
 
+def test_passages_of_many_leads_and_tails(spark):
+    """A notice of 45 words with 12 leads and 12 tails of 4 words: only equal lead and tail, or a chance word, make 50."""
+    draw = random.Random(9)
+    notice = [f"n{i}" for i in range(45)]
+    texts = []
+    for _ in range(600):
+        lead, tail = draw.randrange(12), draw.randrange(12)
+        around = [f"w{draw.randrange(200)}" for _ in range(40)]
+        texts.append(around[:20] + [f"a{lead}_{k}" for k in range(4)] + notice + [f"b{tail}_{k}" for k in range(4)] + around[20:])
+    windows = [[tuple(x[i : i + 50]) for i in range(len(x) - 49)] for x in texts]
+    times = Counter(w for x in windows for w in x)
+    want = {}
+    for i, x in enumerate(windows):
+        hits = [k for k, w in enumerate(x) if times[w] > 1]
+        want[i] = f"{hits[0]}:{hits[-1] + 50}" if hits else ""
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id bigint, text string")
+    assert {i: r.spans for i, r in by_id(passages.repeated(docs)).items()} == want
+
+
 def test_personal_data(spark, none):
     texts = [
         (1, "é mail a.b@c.org_x@y.net, ip 10.0.0.1 and 10.0.0.256, +49 (30) 1234-5678, 4111 1111 1111 1111, 4111 1111 1111 1112"),
