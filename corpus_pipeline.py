@@ -50,7 +50,8 @@ STAGES = [
     ("encode", token_ids),
 ]
 
-# Classifier, signatures and token merges have no SQL form; tests compare each stage with a plain version.
+# Classifier, signatures and token merges have no SQL form. No stage is compared with a plain version: a test runs them on the smallest
+# tables and checks columns, ids and that token ids decode to the texts.
 ORACLE_SQL = None
 
 

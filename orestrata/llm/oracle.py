@@ -2,7 +2,8 @@
 
 op1, op8 and op9 are exact here (all pairs that share a shingle; all windows), so what signatures, bands or anchors
 miss would show. op2, op3, op6, op7 and the pipeline have none: merges by rank, a fitted model, an iterative
-solution. Tests compare those with plain versions.
+solution. Tests compare op2 with the library and parts of op3 and op7 (isotonic steps, marginals) with plain versions, check that
+op6 meets its targets, and of the pipeline only columns, ids and decoding.
 """
 
 from __future__ import annotations
