@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.llm import (
+    alignment,
     bpe,
     hamming,
     line_dedup,
@@ -98,3 +99,9 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         personal_data.joined(F.col("found")).alias("spans"),
         F.round(mean, 6).alias("total_score"),
     )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.aligned(documents(spark, folder), *paths)
