@@ -95,6 +95,41 @@ FROM words LEFT JOIN spans USING (doc_id)
 """
 
 
+# Weights are logarithms in doubles, all else whole numbers; `//` rounds down as no number is below 0.
+_OP13 = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM documents WHERE text IS NOT NULL
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::HUGEINT AS total FROM sizes),
+asked AS (
+    SELECT item_id, t, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+        FROM benchmark WHERE text IS NOT NULL
+    ) GROUP BY ALL
+),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM words WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::HUGEINT AS w
+    FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), whole
+),
+impacts AS (
+    SELECT doc_id, t, (1000000000::HUGEINT * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)) AS impact
+    FROM tf JOIN sizes USING (doc_id), whole
+),
+scores AS (
+    SELECT item_id, doc_id, sum(times * w * impact)::BIGINT AS score
+    FROM asked JOIN weights USING (t) JOIN impacts USING (t) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
 def _op5() -> str:
     from orestrata.llm import line_rules as rules
 
@@ -156,4 +191,5 @@ ORACLE: dict[str, str] = {
     "op5_line_rules": _op5(),
     "op8_fuzzy_lines": _OP8,
     "op9_repeated_passages": _OP9,
+    "op13_ranked_search": _OP13,
 }

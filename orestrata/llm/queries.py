@@ -12,6 +12,7 @@ from orestrata.llm import (
     alignment,
     bpe,
     hamming,
+    lexical,
     line_dedup,
     line_rules,
     mixing,
@@ -105,3 +106,8 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.aligned(documents(spark, folder), *paths)
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
