@@ -20,6 +20,7 @@ from orestrata.llm import (
     passages,
     personal_data,
     quality,
+    templates,
     toxicity,
 )
 from orestrata.llm.shared import documents
@@ -111,3 +112,8 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query
+def op11_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
