@@ -232,17 +232,6 @@ def test_shared_folder_is_the_session_s(spark):
     assert session.work_folder(spark, "x").startswith(f"{base}/orestrata/x-")
 
 
-def test_shuffles_grow_with_the_input(spark, orders, folder):
-    tables.replace_table(orders, f"{folder}/t")
-    assert session.folder_bytes(spark, f"{folder}/t") > 0
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with session.conf(spark, **{key.replace(".", "__"): "8"}):
-        assert session.size_shuffles(spark, 1) == 8
-        assert session.size_shuffles(spark, 4 * 2**40) == 4 * 2**40 // session.SHUFFLE_BYTES
-        assert spark.conf.get(key) == str(4 * 2**40 // session.SHUFFLE_BYTES)
-        assert session.size_shuffles(spark, 2**60) == session.MAX_SHUFFLE_PARTITIONS
-
-
 def test_time_travel_sql():
     assert versions.as_of_sql("t", version=3) == "SELECT * FROM t VERSION AS OF 3"
     assert "TIMESTAMP AS OF '2026-01-01'" in versions.as_of_sql("t", moment="2026-01-01")

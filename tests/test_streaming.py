@@ -105,8 +105,8 @@ def test_a_failed_batch_is_done_again(spark, folder):
     written = table.upsert
     attempts = []
 
-    def failing(changes, batch_id, order):
-        written(changes, batch_id, order)
+    def failing(changes, batch_id, order, run):
+        written(changes, batch_id, order, run)
         attempts.append(batch_id)
         if len(attempts) == 1:
             raise RuntimeError("lost after the write")
