@@ -6,6 +6,8 @@ its 12 integer digits, which is an error under ANSI; give money.WIDE there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,17 +61,21 @@ def category_performance_direct(fact: DataFrame, total_type: T.DecimalType = mon
     return sums.withColumn("avg_revenue_per_unit", money.per_unit(F.col("total_revenue"), F.col("total_units")))
 
 
-def customer_metrics(fact: DataFrame, total_type: T.DecimalType = money.AMOUNT) -> DataFrame:
+def customer_metrics(
+    fact: DataFrame, total_type: T.DecimalType = money.AMOUNT, parts: Sequence[Column] = ()
+) -> DataFrame:
     """Per customer: distinct orders by status, completed revenue, last timestamps.
 
     Lines are merged per order and status first; the four distinct counts are then plain counts and
-    no row is multiplied, and a customer with very many orders is already reduced.
+    no row is multiplied, and a customer with very many orders is already reduced. With `parts` there is a row for each
+    customer and part; an order must lie in one part (its month, say), then `customer_roll_up` gives the whole.
     """
-    per_order = fact.groupBy("customer_id", "order_id", "status").agg(
+    per_order = fact.groupBy("customer_id", "order_id", "status", *parts).agg(
         F.sum("net_amount").alias("net"), F.max("order_ts").alias("order_ts")
     )
     completed = F.col("status") == COMPLETED
-    return per_order.groupBy("customer_id").agg(
+    names = per_order.columns[3 : 3 + len(parts)]
+    return per_order.groupBy("customer_id", *names).agg(
         *[_orders(status, F.count_if(F.col("status") == status)) for status in STATUSES],
         F.coalesce(F.sum(F.when(completed, F.col("net"))), F.lit(0)).cast(total_type).alias("lifetime_value"),
         F.max(F.when(completed, F.col("order_ts"))).alias("last_completed_order_ts"),
@@ -77,6 +83,16 @@ def customer_metrics(fact: DataFrame, total_type: T.DecimalType = money.AMOUNT)
     )
 
 
+def customer_roll_up(parts: DataFrame, total_type: T.DecimalType = money.AMOUNT) -> DataFrame:
+    """Metrics per customer from those per customer and part."""
+    return parts.groupBy("customer_id").agg(
+        *[_orders(status, F.sum(f"{status}_orders")) for status in STATUSES],
+        F.sum("lifetime_value").cast(total_type).alias("lifetime_value"),
+        F.max("last_completed_order_ts").alias("last_completed_order_ts"),
+        F.max("last_activity_ts").alias("last_activity_ts"),
+    )
+
+
 def customer_metrics_expanded(fact: DataFrame, total_type: T.DecimalType = money.AMOUNT) -> DataFrame:
     """The same metrics as four distinct counts; Spark repeats each row per count, so for checks only."""
     completed = F.col("status") == COMPLETED

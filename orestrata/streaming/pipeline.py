@@ -77,7 +77,7 @@ def from_wire(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def append(df: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Append a stream to a folder, exactly once per record; `once` stops when the input is used up."""
-    return _trigger(df.writeStream.format("parquet").option("path", path).outputMode("append"), once, checkpoint).start()
+    return trigger(df.writeStream.format("parquet").option("path", path).outputMode("append"), once, checkpoint).start()
 
 
 def append_kafka(df: DataFrame, servers: str, topic: str, key: str, checkpoint: str, **options: str) -> StreamingQuery:
@@ -90,7 +90,7 @@ def append_kafka(df: DataFrame, servers: str, topic: str, key: str, checkpoint:
         .options(**options)
         .outputMode("append")
     )
-    return _trigger(writer, False, checkpoint).start()
+    return trigger(writer, False, checkpoint).start()
 
 
 def upsert(
@@ -115,7 +115,7 @@ def upsert(
             run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # new with each checkpoint
             table.upsert(transform(batch), batch_id, order, run or "")
 
-    return _trigger(df.writeStream.foreachBatch(apply).outputMode("append"), once, checkpoint).start()
+    return trigger(df.writeStream.foreachBatch(apply).outputMode("append"), once, checkpoint).start()
 
 
 def sales_enriched(
@@ -215,6 +215,6 @@ def _salted(many: DataFrame, one: DataFrame, key: str, salts: int, spread_by: st
     return left.join(right, [key, "__salt"]).drop("__salt")
 
 
-def _trigger(writer, once: bool, checkpoint: str):
+def trigger(writer, once: bool, checkpoint: str):
     prepared = writer.option("checkpointLocation", checkpoint)
     return prepared.trigger(availableNow=True) if once else prepared.trigger(processingTime=COMMIT_INTERVAL)
