@@ -43,6 +43,15 @@ def sales_enriched_staged(items: DataFrame, orders: DataFrame, products: DataFra
     )
 
 
+def sales_enriched_colocated(items: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same fact from lines and orders that are stored in buckets of the order: they meet first, where they lie."""
+    placed = items.select("order_item_id", "order_id", "product_id", "quantity", "discount_pct").join(
+        orders.select("order_id", "customer_id", "order_date", "order_ts", "status", "payment_method"), "order_id"
+    )
+    priced = placed.join(products.select("product_id", "product_name", "category", "unit_price"), "product_id")
+    return _fact(priced.join(customers.select("customer_id", F.col("country").alias("customer_country")), "customer_id"))
+
+
 def _fact(joined: DataFrame) -> DataFrame:
     computed = joined.withColumns(
         {

@@ -114,18 +114,16 @@ def detect_classes(
         return df.sparkSession.createDataFrame([], DETECTED)
     names = list(dict.fromkeys(name for name, _, _ in tried))
     patterns = list(dict.fromkeys(c.value_pattern for _, c, _ in tried))
-    long = df.select(*[F.col(name).cast("string").alias(name) for name in names]).unpivot([], names, "column", "value")
-    # Merged to one row per column in every task: no value is shuffled.
-    counts = long.groupBy("column").agg(
-        F.count("value").alias("present"),
-        *[
-            F.count_if(
-                F.col("column").isin(*[n for n, c, _ in tried if c.value_pattern == pattern])
-                & F.col("value").rlike(pattern)
-            ).alias(f"fits__{i}")
-            for i, pattern in enumerate(patterns)
-        ],
-    )
+    often = _often_repeated(df, names) if len(tried) > 2 * len(names) else []
+    parts = []
+    # Columns whose values repeat are merged to one row per value first, and each pattern is tried once per value.
+    if often:
+        long = _long(df, often).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_fitting(long, tried, often, patterns))
+    rest = [name for name in names if name not in often]
+    if rest:
+        parts.append(_fitting(_long(df, rest).withColumn("n", F.lit(1)), tried, rest, patterns))
+    counts = reduce(DataFrame.unionByName, parts)
     fits = [
         F.struct(
             F.lit(name).alias("of"),
@@ -144,6 +142,29 @@ def detect_classes(
     )
 
 
+def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(name).cast("string").alias(name) for name in names]).unpivot([], list(names), "column", "value")
+
+
+def _often_repeated(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """Columns with few distinct values for their rows, by one scan of estimates."""
+    found = df.agg(F.count(F.lit(1)), *[F.approx_count_distinct(F.col(name).cast("string"), 0.1) for name in names]).first()
+    return [name for name, n in zip(names, found[1:]) if n * 8 <= found[0]]
+
+
+def _fitting(values: DataFrame, tried: list, names: Sequence[str], patterns: list[str]) -> DataFrame:
+    """Per column the rows with a value, and those whose value fits each pattern: merged in every task, no value is shuffled."""
+    fits = []
+    for i, pattern in enumerate(patterns):
+        wanted = [n for n, c, _ in tried if c.value_pattern == pattern and n in names]
+        hit = F.col("value").rlike(pattern)
+        if set(wanted) != set(names):
+            hit = F.col("column").isin(*wanted) & hit if wanted else F.lit(False)
+        fits.append(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).cast("bigint").alias(f"fits__{i}"))
+    present = F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint")
+    return values.groupBy("column").agg(present.alias("present"), *fits)
+
+
 def class_catalog(detected: DataFrame) -> DataFrame:
     """data_class -> sorted list of `table.column` it was assigned to (metadata, one entry per column)."""
     where = F.concat_ws(".", "table_name", "column")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.operators.reports import row_count
@@ -73,37 +73,85 @@ def unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 def run_tests(tables: dict[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
     """One row per test: (test, table_name, column, failures, status), run as one job.
 
-    Every test reads its table, so give stored tables rather than long computations.
+    Every table is read once: the columns that its tests need are laid out as (table, column, value) and merged to one row for
+    each value with its number of rows. All tests are sums over these rows; relationships meet their parent's values in one
+    more grouping by value. A column that is only tested for nulls has two values, null or not.
     """
-    results: list[DataFrame] = []
-    nullable: dict[str, list[str]] = {}
-    for test in tests:
-        if isinstance(test, NotNull):
-            nullable.setdefault(test.table, []).append(test.column)
-        else:
-            results.append(_one(tables, test))
-    for name, columns in nullable.items():
-        counted = null_counts(tables[name], columns)
-        results.append(
-            counted.select(F.lit("not_null").alias("test"), F.lit(name).alias("table_name"), "column", "failures")
+    grouped = _key_values(tables, tests)
+    one = grouped.groupBy("table_name", "column").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("not_null"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("unique"),
+        F.count_if(_unaccepted(tests)).alias("accepted_values"),
+    )
+    wide = one.unpivot(["table_name", "column"], ["not_null", "unique", "accepted_values"], "test", "failures")
+    names = {NotNull: "not_null", Unique: "unique", AcceptedValues: "accepted_values"}
+    alone = [F.struct(*map(F.lit, (names[type(t)], t.table, t.column))) for t in tests if not isinstance(t, Relationship)]
+    parts = []
+    if alone:
+        asked = F.struct("test", "table_name", "column")
+        # A table without rows has no values, so no failures either: its tests come from the list.
+        listed = tables[tests[0].table].sparkSession.range(1).select(F.explode(F.array(*alone)).alias("t"))
+        listed = listed.select(F.col("t.col1").alias("test"), F.col("t.col2").alias("table_name"), F.col("t.col3").alias("column"))
+        counted = wide.where(asked.isin(*alone))
+        parts.append(
+            listed.join(counted, ["test", "table_name", "column"], "left").withColumn("failures", F.coalesce("failures", F.lit(0)))
         )
-    return reduce(DataFrame.unionByName, results).withColumn(
-        "status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL")
+    links = [t for t in tests if isinstance(t, Relationship)]
+    if links:
+        parts.append(_lost(grouped, links))
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .select("test", "table_name", "column", F.col("failures").cast("bigint").alias("failures"))
+        .withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
     )
 
 
-def _one(tables: dict[str, DataFrame], test: Test) -> DataFrame:
-    df = tables[test.table]
-    if isinstance(test, Unique):
-        kind, failures = "unique", duplicate_keys(df, test.column).agg(F.count(F.lit(1)).alias("failures"))
-    elif isinstance(test, Relationship):
-        lost = orphans(df, test.column, tables[test.to_table], test.to_column)
-        kind, failures = "relationships", lost.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
-    else:
-        bad = unaccepted(df, test.column, test.values)
-        kind, failures = "accepted_values", bad.agg(F.count(F.lit(1)).alias("failures"))
-    return failures.select(
-        F.lit(kind).alias("test"), F.lit(test.table).alias("table_name"), F.lit(test.column).alias("column"), "failures"
+def _key_values(tables: dict[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
+    """(table_name, column, value, n) of every column that a test needs, each table read once."""
+    needed: dict[str, dict[str, bool]] = {}  # table -> column -> whether its values count
+    for test in tests:
+        own = needed.setdefault(test.table, {})
+        own[test.column] = own.get(test.column, False) or not isinstance(test, NotNull)
+        if isinstance(test, Relationship):
+            needed.setdefault(test.to_table, {})[test.to_column] = True
+    long = []
+    for name, columns in needed.items():
+        values = [
+            (F.col(c).cast("string") if counts else F.when(F.col(c).isNotNull(), "")).alias(c)
+            for c, counts in columns.items()
+        ]
+        long.append(tables[name].select(*values).unpivot([], list(columns), "column", "value").withColumn("table_name", F.lit(name)))
+    both = reduce(DataFrame.unionByName, long)
+    return both.groupBy("table_name", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unaccepted(tests: Sequence[Test]) -> Column:
+    bad = F.lit(False)
+    for test in tests:
+        if isinstance(test, AcceptedValues):
+            here = (F.col("table_name") == test.table) & (F.col("column") == test.column)
+            bad = bad | (here & F.col("value").isNotNull() & ~F.col("value").isin(*test.values))
+    return bad
+
+
+def _lost(grouped: DataFrame, links: Sequence[Relationship]) -> DataFrame:
+    """Failures of relationships: rows whose value its parent column lacks."""
+    roles = F.array(
+        *[
+            F.when((F.col("table_name") == table) & (F.col("column") == column), F.struct(F.lit(i).alias("link"), F.lit(parent).alias("parent")))
+            for i, t in enumerate(links)
+            for table, column, parent in ((t.table, t.column, False), (t.to_table, t.to_column, True))
+        ]
+    )
+    held = grouped.where(F.col("value").isNotNull()).select("value", "n", F.explode(F.array_compact(roles)).alias("r"))
+    met = held.groupBy("r.link", "value").agg(
+        F.sum(F.when(~F.col("r.parent"), F.col("n"))).alias("rows"), F.bool_or("r.parent").alias("known")
+    )
+    counted = met.groupBy("link").agg(F.sum(F.when(~F.col("known"), F.col("rows"))).alias("failures"))
+    names = F.array(*[F.struct(F.lit(i).alias("link"), F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column")) for i, t in enumerate(links)])
+    listed = grouped.sparkSession.range(1).select(F.explode(names).alias("t")).select("t.*")
+    return listed.join(counted, "link", "left").select(
+        F.lit("relationships").alias("test"), "table_name", "column", F.coalesce("failures", F.lit(0)).alias("failures")
     )
 
 

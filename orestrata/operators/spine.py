@@ -31,5 +31,20 @@ def on_spine(spine: DataFrame, metrics: DataFrame, day: str, fill: list[str]) ->
     )
 
 
+def on_group_spine(
+    metrics: DataFrame, groups: DataFrame, day: str, first: date, last: date, fill: list[str]
+) -> DataFrame:
+    """Metrics per group and day with every day from `first` to `last` shown for every row of `groups`.
+
+    Each group's row is exploded into its own days: no cross join, and the days meet the metrics by group and day.
+    """
+    keys = groups.columns
+    dense = groups.distinct().select(*keys, _days(F.lit(first), F.lit(last)).alias(day))
+    joined = dense.join(metrics, [*keys, day], "left")
+    return joined.withColumns(
+        {name: F.coalesce(F.col(name), F.lit(0).cast(metrics.schema[name].dataType)) for name in fill}
+    )
+
+
 def _days(first: Column, last: Column) -> Column:
     return F.explode(F.sequence(first, last, F.expr("interval 1 day")))

@@ -207,17 +207,20 @@ _SCORECARD = (
 )
 
 
+_CLASSIFIED = [*_SCORED, "silver_sales_enriched", "gold_daily_sales", "gold_category_performance", "gold_customer_360"]
+
+
 def _detected(threshold: float) -> str:
     parts = []
-    for table in _SCORED:
-        for c in _COLUMNS[table]:
-            for data_class in DATA_CLASSES:
-                named = "true" if class_for(c, (data_class,)) else "false"
-                parts.append(
-                    f"SELECT '{table}' AS table_name, '{c}' AS \"column\", '{data_class.name}' AS data_class, "
-                    f"{named} AS name_matches, count({c}) AS present, count(*) FILTER (WHERE "
-                    f"regexp_matches(CAST({c} AS VARCHAR), '{data_class.value_pattern}')) AS matched FROM {table}"
-                )
+    for table in _CLASSIFIED:
+        names = _COLUMNS.get(table) or [n for n in contracts.CONTRACTS[table].schema.names if n != "transformed_at"]
+        tried = [
+            f"{{'column': '{c}', 'data_class': '{k.name}', 'name_matches': {'true' if class_for(c, (k,)) else 'false'}, "
+            f"'present': count({c}), 'matched': count(*) FILTER (WHERE regexp_matches(CAST({c} AS VARCHAR), '{k.value_pattern}'))}}"
+            for c in names
+            for k in DATA_CLASSES
+        ]
+        parts.append(f"SELECT '{table}' AS table_name, unnest([{', '.join(tried)}], recursive := true) FROM {table}")
     return (
         "fits AS (" + _union(parts) + "),\ndetected AS (SELECT *, name_matches AND present > 0 AND "
         f"matched >= {threshold} * present AS assigned FROM fits)"
@@ -289,33 +292,91 @@ def _relationship_coverage() -> str:
     return _sql(_union(parts))
 
 
+# All columns that can be compared, by kind.
 _FK_COLUMNS = {
-    "customer": ["c_custkey", "c_nationkey"],
-    "nation": ["n_nationkey", "n_regionkey"],
-    "region": ["r_regionkey"],
-    "part": ["p_partkey"],
-    "supplier": ["s_suppkey", "s_nationkey"],
-    "orders": ["o_orderkey", "o_custkey"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+    "BIGINT": {
+        "customer": ["c_custkey", "c_nationkey"],
+        "nation": ["n_nationkey", "n_regionkey"],
+        "region": ["r_regionkey"],
+        "part": ["p_partkey", "p_size"],
+        "supplier": ["s_suppkey", "s_nationkey"],
+        "orders": ["o_orderkey", "o_custkey"],
+        "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+        "events": ["event_id", "user_id"],
+        "documents": ["doc_id", "n_chars"],
+        "embeddings": ["vec_id", "label"],
+        "pages": ["page_id"],
+        "benchmark": ["item_id"],
+        "labels": ["doc_id", "quality", "toxic"],
+        "conversations": ["conv_id", "turn"],
+    },
+    "VARCHAR": {
+        "region": ["r_name"],
+        "nation": ["n_name"],
+        "customer": ["c_name", "c_mktsegment"],
+        "supplier": ["s_name"],
+        "part": ["p_name", "p_brand", "p_type"],
+        "orders": ["o_orderstatus", "o_orderpriority"],
+        "lineitem": ["l_returnflag", "l_linestatus"],
+        "events": ["event_type", "props"],
+        "documents": ["text", "lang", "source"],
+        "pages": ["url", "html"],
+        "benchmark": ["text"],
+        "conversations": ["role", "text"],
+    },
+    "DOUBLE": {
+        "customer": ["c_acctbal"],
+        "supplier": ["s_acctbal"],
+        "part": ["p_retailprice"],
+        "orders": ["o_totalprice"],
+        "lineitem": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        "events": ["value"],
+    },
+    "TIMESTAMP": {"orders": ["o_orderdate"], "lineitem": ["l_shipdate"], "events": ["ts"]},
 }
 
 
 def _foreign_keys() -> str:
-    values = _union(
+    ctes, results = [], []
+    for kind, tables in _FK_COLUMNS.items():
+        k = kind.lower()
+        values = _union(
+            [
+                f"SELECT '{t}' AS t, '{c}' AS c, CAST({c} AS {kind}) AS v, count(*) AS n FROM {t} GROUP BY {c}"
+                for t, columns in tables.items()
+                for c in columns
+            ]
+        )
+        ctes += [
+            f"vals_{k} AS ({values})",
+            f"sizes_{k} AS (SELECT t, c, count(v) AS d, CAST(sum(n) AS BIGINT) AS n FROM vals_{k} GROUP BY 1, 2)",
+            f"pairs_{k} AS (SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, "
+            f"count(*) AS contained FROM vals_{k} a JOIN vals_{k} b ON a.v = b.v AND a.t <> b.t "
+            f"JOIN sizes_{k} s ON s.t = b.t AND s.c = b.c AND s.d = s.n GROUP BY 1, 2, 3, 4)",
+        ]
+        results.append(
+            f"SELECT p.*, s.d AS distinct_values, CAST(p.contained / s.d AS DECIMAL(5,4)) AS inclusion "
+            f"FROM pairs_{k} p JOIN sizes_{k} s ON s.t = p.child_table AND s.c = p.child_column WHERE p.contained >= 0.5 * s.d"
+        )
+    return "WITH " + ",\n".join(ctes) + "\n" + _union(results)
+
+
+def _sketched() -> str:
+    columns = {
+        "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+        "lineitem": [
+            *["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+            *["l_returnflag", "l_linestatus", "l_shipdate"],
+        ],
+    }
+    return _union(
         [
-            f"SELECT '{t}' AS t, '{c}' AS c, CAST({c} AS BIGINT) AS v, count(*) AS n FROM {t} GROUP BY {c}"
-            for t, columns in _FK_COLUMNS.items()
-            for c in columns
+            f"SELECT '{t}' AS table_name, '{c}' AS \"column\", count(*) AS records, count(*) - count({c}) AS null_count, "
+            f"count(DISTINCT {c}) = count(*) AS is_key FROM {t}"
+            for t, names in columns.items()
+            for c in names
         ]
     )
-    return (
-        f"WITH vals AS ({values}), sizes AS (SELECT t, c, count(v) AS d, CAST(sum(n) AS BIGINT) AS n FROM vals GROUP BY 1, 2), "
-        "pairs AS (SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, "
-        "count(*) AS contained FROM vals a JOIN vals b ON a.v = b.v AND a.t <> b.t "
-        "JOIN sizes s ON s.t = b.t AND s.c = b.c AND s.d = s.n GROUP BY 1, 2, 3, 4) "
-        "SELECT p.*, s.d AS distinct_values, CAST(p.contained / s.d AS DECIMAL(5,4)) AS inclusion "
-        "FROM pairs p JOIN sizes s ON s.t = p.child_table AND s.c = p.child_column WHERE p.contained >= 0.5 * s.d"
-    )
 
 
 def _conformance() -> str:
@@ -540,6 +601,7 @@ ORACLE: dict[str, str] = {
         _PROFILES,
     ),
     "foreign_key_candidates": _foreign_keys(),
+    "column_sketches": _sketched(),
     "dq_columns": _sql("SELECT * FROM scores", _scores()),
     "dq_scorecard": _sql("SELECT * FROM scorecard", _scores(), _SCORECARD),
     "dq_kpis": _sql(
@@ -595,9 +657,10 @@ ORACLE: dict[str, str] = {
     ),
     "time_spine": _sql("SELECT date_day FROM calendar"),
     "spine_daily_revenue": _sql("""
-        SELECT date_day, coalesce(order_count, 0) AS order_count, coalesce(units_sold, 0) AS units_sold,
+        SELECT g.category, date_day, coalesce(order_count, 0) AS order_count, coalesce(units_sold, 0) AS units_sold,
                coalesce(net_revenue, CAST(0 AS DECIMAL(24,2))) AS net_revenue
-        FROM calendar LEFT JOIN (SELECT * FROM gold_daily_sales WHERE category = 'PROMO') ON date_day = order_date"""),
+        FROM calendar CROSS JOIN (SELECT DISTINCT category FROM gold_daily_sales) g
+        LEFT JOIN gold_daily_sales s ON s.category = g.category AND s.order_date = date_day"""),
     "partition_stats": _sql("""
         SELECT CAST((year(order_date) - 1970) * 12 + month(order_date) - 1 AS INTEGER) AS month_ordinal,
                strftime(order_date, '%Y-%m') AS month, count(*) AS row_count, true AS stored
@@ -621,6 +684,25 @@ ORACLE: dict[str, str] = {
     "incremental_merge": _sql(
         "SELECT * REPLACE (CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status) FROM silver_orders"
     ),
+    "monthly_load": _sql("""
+        SELECT order_id, customer_id, order_ts, order_date,
+               CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status, payment_method,
+               CAST(date_trunc('month', order_date) AS DATE) AS order_month FROM silver_orders"""),
+    "stream_changes": _sql(_ORDERS),
+    "stream_delta_enriched": _sql(_FACT),
+    "delta_daily_sales": _sql(_DAILY),
+    "delta_customer_360": _sql(_CUSTOMER),
+    "reconcile_digest": _sql("""
+        SELECT order_date, category, order_count, units_sold, net_revenue,
+               count(*) FILTER (side = 'l') AS left_copies, count(*) FILTER (side = 'r') AS right_copies
+        FROM (SELECT 'l' AS side, * FROM gold_daily_sales UNION ALL SELECT 'r', * FROM daily_gross) GROUP BY ALL
+        HAVING left_copies <> right_copies"""),
+    "reconcile_builds_digest": _sql(
+        "SELECT *, CAST(1 AS BIGINT) AS left_copies, CAST(1 AS BIGINT) AS right_copies FROM silver_sales_enriched WHERE false"
+    ),
+    "sales_enriched_bucketed": _sql(_FACT),
+    "stream_bounded_enriched": _sql(_FACT),
+    "published_mart": _sql(_DAILY),
     "version_read": _sql(
         f"SELECT status, count(*) AS row_count FROM silver_orders WHERE order_ts < {_CUTOFF} GROUP BY status"
     ),

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from orestrata import contracts, session
 from orestrata.functions import money
 from orestrata.functions.text import joined
+from orestrata.functions.times import month_start
 from orestrata.functions.types import catalog_type
 from orestrata.operators import (
     bronze,
@@ -28,15 +29,17 @@ from orestrata.operators import (
     reports,
     semantic,
     silver,
+    sketches,
     spine,
 )
 from orestrata.plans import medallion
 from orestrata.plans.medallion import LARGE
 from orestrata.sinks import tables as sink
 from orestrata.sinks import versions
+from orestrata.sinks.monthly import MonthlyTable
 from orestrata.sinks.upsert import KeyedTable
 from orestrata.sources import coerce, files, starmap
-from orestrata.streaming import pipeline, sources
+from orestrata.streaming import deltas, pipeline, sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -292,6 +295,20 @@ def sales_enriched_staged(d: Data) -> DataFrame:
     return _without_stamp(d.staged_fact)
 
 
+@query
+def sales_enriched_bucketed(d: Data) -> DataFrame:
+    """Lines and orders stored in buckets of the order, joined where they lie."""
+    path = d.work("bucketed")
+    suffix = path.rsplit("-", 1)[1]
+    sink.create_namespace(d.spark, "orestrata_buckets")
+    parts = {
+        name: sink.bucketed_table(getattr(d.clean, name), f"orestrata_buckets.{name}_{suffix}", f"{path}/{name}", "order_id", 16)
+        for name in ("order_items", "orders")
+    }
+    fact = enrich.sales_enriched_colocated(parts["order_items"], parts["orders"], d.clean.products, d.clean.customers)
+    return _without_stamp(fact)
+
+
 @query
 def orphan_policy(d: Data) -> DataFrame:
     c = d.clean
@@ -453,6 +470,22 @@ def except_rows(d: Data) -> DataFrame:
     return reconcile.except_rows(d.daily, before, contracts.MARTS["daily_sales"])
 
 
+@query
+def reconcile_digest(d: Data) -> DataFrame:
+    """Rows that differ between revenue before and after discount, found by digests of months and buckets."""
+    before = d.gross.withColumnRenamed("gross_revenue", "net_revenue")
+    columns = contracts.MARTS["daily_sales"]
+    return reconcile.drill_down(d.daily, before, columns, month_start("order_date"), ["order_date", "category"])
+
+
+@query
+def reconcile_builds_digest(d: Data) -> DataFrame:
+    """Two builds of the fact with their rows that differ: none."""
+    columns = [c for c in contracts.SALES_ENRICHED.names if c != "transformed_at"]
+    ours, theirs = (df.drop(sink.MONTH) for df in (d.stored["silver_sales_enriched"], d.staged_build))
+    return reconcile.drill_down(ours, theirs, columns, month_start("order_date"), ["order_item_id"])
+
+
 @query
 def reconcile_delta(d: Data) -> DataFrame:
     before = d.gross.withColumnRenamed("gross_revenue", "net_revenue")
@@ -531,18 +564,28 @@ def key_candidates(d: Data) -> DataFrame:
     return profile.primary_keys(_profiles(d))
 
 
+_ALL_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
 @query
 def foreign_key_candidates(d: Data) -> DataFrame:
-    columns = {
-        "customer": ["c_custkey", "c_nationkey"],
-        "nation": ["n_nationkey", "n_regionkey"],
-        "region": ["r_regionkey"],
-        "part": ["p_partkey"],
-        "supplier": ["s_suppkey", "s_nationkey"],
-        "orders": ["o_orderkey", "o_custkey"],
-        "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
-    }
-    return profile.foreign_keys({name: d.scan(name) for name in columns}, columns, minimum=0.5)
+    """Every column of every table against every key."""
+    return sketches.foreign_keys({name: d.scan(name) for name in _ALL_TABLES}, minimum=0.5)
+
+
+@query
+def column_sketches(d: Data) -> DataFrame:
+    """Orders and lines profiled from stored sketches of their months; keys are checked exactly."""
+    found = []
+    for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        rows = d.scan(name)
+        monthly = rows.withColumn(sink.MONTH, F.trunc(day, "month"))
+        path = d.work("sketches")
+        sink.write_files(sketches.sketched(monthly, sink.MONTH), path)
+        found.append(sketches.profile_from(d.spark.read.parquet(path), rows, name))
+    return reduce(DataFrame.unionByName, found).drop("distinct_estimate")
 
 
 def _vocabularies() -> dict[str, list[str]]:
@@ -572,10 +615,14 @@ def dq_scorecard(d: Data) -> DataFrame:
     return profile.scorecard(_scores(d))
 
 
+_CLASSIFIED = (*_PROFILED, "silver_sales_enriched", *(f"gold_{mart}" for mart in contracts.MARTS))
+
+
 def _detected(d: Data, by_value: bool = False) -> DataFrame:
+    """Over the silver entities, the fact and the marts, as stored."""
     found = []
-    for name, df in d.clean.named("silver").items():
-        rows = _without_stamp(df)
+    for name in _CLASSIFIED:
+        rows = _without_stamp(d.stored[name]).drop(sink.MONTH)
         found.append(governance.detect_classes(rows, name, by_value=by_value))
     return reduce(DataFrame.unionByName, found)
 
@@ -720,10 +767,14 @@ def time_spine(d: Data) -> DataFrame:
 
 @query
 def spine_daily_revenue(d: Data) -> DataFrame:
-    """Revenue of one category per day, with the days that had none."""
-    promo = d.daily.where(F.col("category") == "PROMO").drop("category")
-    calendar = spine.spine_of(d.clean.orders, "order_date")
-    return spine.on_spine(calendar, promo, "order_date", ["order_count", "units_sold", "net_revenue"])
+    """Revenue of every category per day, with the days that had none."""
+    bounds = d.clean.orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).first()
+    groups = d.daily.select("category")
+    fill = ["order_count", "units_sold", "net_revenue"]
+    if bounds["first"] is None:
+        return d.daily.withColumnRenamed("order_date", "date_day")
+    dense = spine.on_group_spine(d.daily, groups, "order_date", bounds["first"], bounds["last"], fill)
+    return dense.withColumnRenamed("order_date", "date_day")
 
 
 # --- sinks, versions, upserts ----------------------------------------------
@@ -746,6 +797,14 @@ def refresh_mart(d: Data) -> DataFrame:
     return sink.refresh_mart(lambda: d.daily, path)
 
 
+@query
+def published_mart(d: Data) -> DataFrame:
+    """A mart published twice, the second time from its own rows: readers are switched at once."""
+    path = d.work("published")
+    sink.publish(d.daily.unionByName(d.daily), path)
+    return sink.publish(sink.published(d.spark, path).distinct(), path)
+
+
 @query
 def append_to_emptied(d: Data) -> DataFrame:
     """A load that is run twice and still holds its rows once."""
@@ -817,6 +876,18 @@ def incremental_merge(d: Data) -> DataFrame:
     return incremental.merge_by_key(orders, closed, ["order_id"], ["order_ts"])
 
 
+@query
+def monthly_load(d: Data) -> DataFrame:
+    """Orders by month in three loads past the kept mark; the last brings closed states, which rewrite their months only."""
+    table = MonthlyTable(d.spark, d.work("monthly"), ["order_id"])
+    orders = _without_stamp(d.clean.orders)
+    table.load(orders.where(F.col("order_ts") < F.lit(_CUTOFF).cast("timestamp_ntz")), "order_ts")
+    table.load(orders, "order_ts")
+    closed = orders.where(F.col("status") == "pending").withColumn("status", F.lit("completed"))
+    table.merge(closed)
+    return table.read()
+
+
 @query
 def version_read(d: Data) -> DataFrame:
     """Status counts as of the first version."""
@@ -961,6 +1032,90 @@ def stream_order_items(d: Data) -> DataFrame:
     return _without_stamp(_streamed(d, "order_items", d.work("stream")))
 
 
+@query
+def stream_changes(d: Data) -> DataFrame:
+    """A log that holds three states of every order in one batch, out of order: the highest sequence wins."""
+    root = d.work("stream")
+    orders = d.raw.orders
+    states = [
+        orders.withColumns({"status": F.lit("returned"), sources.SEQUENCE: F.col("order_id").cast("bigint") * 3 + 1}),
+        orders.withColumn(sources.SEQUENCE, F.col("order_id").cast("bigint") * 3 + 2),
+        orders.withColumns({"status": F.lit("pending"), sources.SEQUENCE: F.col("order_id").cast("bigint") * 3}),
+    ]
+    log = reduce(DataFrame.unionByName, states)
+    log.write.parquet(f"{root}/raw")
+    raw = sources.file_stream(d.spark, f"{root}/raw", log.schema)
+    clean = pipeline.clean("orders", raw, key_type=LARGE.key_type, carry=[sources.SEQUENCE])
+    table = KeyedTable(d.spark, f"{root}/table", pipeline.KEYS["orders"])
+    pipeline.upsert(clean, table, [sources.SEQUENCE], f"{root}/checkpoint", once=True).awaitTermination()
+    table.compact()
+    return _without_stamp(table.read()).drop(sources.SEQUENCE)
+
+
+def _changed_entities(d: Data) -> list[dict[str, DataFrame]]:
+    """Clean records in three rounds: lines, some customers and wrong prices; orders, half of them in an earlier
+    state; then what was late or wrong."""
+    clean = d.clean.named("silver")
+    last = {name: clean[f"silver_{name}"] for name in deltas.ENTITIES}
+
+    def at(number: int, df: DataFrame) -> DataFrame:
+        return df.withColumn(sources.SEQUENCE, F.lit(number).cast("bigint"))
+
+    even_product, even_order = F.col("product_id") % 2 == 0, F.col("order_id") % 2 == 0
+    late = F.col("customer_id") % 3 == 0
+    price, day = last["products"].schema["unit_price"].dataType, F.date_add("order_date", -40)
+    earlier = {"status": F.lit("pending"), "order_date": day, "order_ts": day.cast("timestamp_ntz")}
+    return [
+        {
+            "order_items": at(1, last["order_items"]),
+            "products": at(1, last["products"].withColumn("unit_price", F.when(even_product, F.lit(1).cast(price)).otherwise(F.col("unit_price")))),
+            "customers": at(1, last["customers"].where(~late)),
+        },
+        {
+            "orders": at(2, last["orders"].withColumns({n: F.when(even_order, c).otherwise(F.col(n)) for n, c in earlier.items()})),
+            "customers": at(2, last["customers"].where(late)),
+        },
+        {"orders": at(3, last["orders"].where(even_order)), "products": at(3, last["products"].where(even_product))},
+    ]
+
+
+def _delta_fact(d: Data) -> deltas.DeltaFact:
+    fact = deltas.DeltaFact(d.spark, d.work("delta"), [sources.SEQUENCE], LARGE)
+    for number, changes in enumerate(_changed_entities(d)):
+        fact.apply(deltas.tagged(changes), number)
+    return fact
+
+
+@query
+def stream_delta_enriched(d: Data) -> DataFrame:
+    """Four topics with late orders and corrected products, followed by one job in three runs: the batch fact, without stream state."""
+    root = d.work("stream")
+    fact = deltas.DeltaFact(d.spark, f"{root}/tables", [sources.SEQUENCE], LARGE)
+    rounds = _changed_entities(d)
+    schemas = {name: df.schema for changes in rounds for name, df in changes.items()}
+    for changes in rounds:
+        for name in deltas.ENTITIES:
+            wire = pipeline.to_wire(changes[name]) if name in changes else d.spark.createDataFrame([], pipeline.wire_schema(schemas[name]))
+            wire.write.mode("append").parquet(f"{root}/topic/{name}")
+        topics = {
+            name: pipeline.from_wire(sources.file_stream(d.spark, f"{root}/topic/{name}", pipeline.wire_schema(schema)), schema)
+            for name, schema in schemas.items()
+        }
+        fact.follow(topics, f"{root}/checkpoint", once=True).awaitTermination()
+    return _without_stamp(fact.fact.read()).drop(sink.MONTH)
+
+
+@query
+def delta_daily_sales(d: Data) -> DataFrame:
+    """The daily mart, of which every batch of changes computed its months anew."""
+    return _delta_fact(d).marts.daily_sales()
+
+
+@query
+def delta_customer_360(d: Data) -> DataFrame:
+    return _delta_fact(d).marts.customer_360(d.clean.customers)
+
+
 def _streamed_fact(d: Data) -> DataFrame:
     """The four clean streams joined and upserted by line."""
     root = d.work("stream")
@@ -991,6 +1146,28 @@ def stream_static_enriched(d: Data) -> DataFrame:
     return _without_stamp(table.read())
 
 
+@query
+def stream_bounded_enriched(d: Data) -> DataFrame:
+    """Lines and orders joined within a time, with bounded state, in two runs; what the watermark drops is derived beside it."""
+    root = d.work("stream")
+    clean = d.clean
+    # The day a line was shipped ends its id.
+    lines = clean.order_items.withColumn("sold_at", F.substring("order_item_id", -10, 10).cast("timestamp_ntz"))
+    early = F.col("order_id") % 2 == 0
+    for number, (some, other) in enumerate(((lines.where(early), clean.orders), (lines.where(~early), clean.orders.where("1 = 0")))):
+        some.write.mode("append").parquet(f"{root}/lines")
+        other.write.mode("append").parquet(f"{root}/orders")
+        items = sources.file_stream(d.spark, f"{root}/lines", lines.schema)
+        orders = sources.file_stream(d.spark, f"{root}/orders", clean.orders.schema)
+        fact = pipeline.sales_enriched_bounded(items, orders, clean.products, clean.customers, "sold_at", "30 days", "60 days")
+        with pipeline.state_settings(d.spark):
+            pipeline.append(fact, f"{root}/fact", f"{root}/checkpoint", once=True).awaitTermination()
+    joined = d.spark.read.parquet(f"{root}/fact")
+    late = pipeline.late_lines(d.spark.read.parquet(f"{root}/lines"), joined, clean.orders, clean.products, clean.customers)
+    late.write.parquet(f"{root}/late")
+    return _without_stamp(joined.unionByName(d.spark.read.parquet(f"{root}/late")))
+
+
 @query
 def stream_gold(d: Data) -> DataFrame:
     """Batch marts over the streamed fact: the daily one rolled up by category."""

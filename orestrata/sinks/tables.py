@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from orestrata.functions import money
 from orestrata.functions.times import month_start
+from orestrata.sinks.state import State
 
 MONTH = "order_month"
 
@@ -50,6 +51,40 @@ def replace_catalog_table(df: DataFrame, name: str, day: str | None = None, fmt:
     writer.createOrReplace()
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A catalog table in buckets of a key: tables with equal buckets join on it without an exchange.
+
+    Rows are dealt by the key before they are written, so a bucket is one sorted file.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def publish(df: DataFrame, path: str) -> DataFrame:
+    """Replace a published table: its rows are written whole to a folder of their own, then one document names that folder.
+
+    A reader (`published`) finds the old rows or the new ones at any moment, and a writer lost anywhere leaves the old ones. The rows may
+    come from the table itself. The folder before the last one is deleted.
+    """
+    state = State(df.sparkSession, path)
+    now = state.read() or {"current": None, "last": None}
+    folder = f"rows-{uuid.uuid4().hex}"
+    df.write.parquet(f"{state.path}/{folder}")
+    state.write({"current": folder, "last": now["current"]})
+    if now["last"]:
+        state.delete(now["last"])
+    return published(df.sparkSession, path)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    state = State(spark, path)
+    now = state.read()
+    if now is None:
+        raise ValueError(f"{path} is not published")
+    return spark.read.parquet(f"{state.path}/{now['current']}")
+
+
 def append_table(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("append").parquet(path)
     return df.sparkSession.read.parquet(path)
