@@ -215,15 +215,33 @@ def conformance(df: DataFrame, column: str, set_name: str) -> DataFrame:
     )
 
 
-# Tag, parts of column names that carry it, whole column names that carry it.
+@dataclass(frozen=True)
+class NameRule:
+    """A label for names that contain one of `parts`, are one of `wholes` or begin with one of `starts`, and have none of `unless`."""
+
+    label: str
+    parts: tuple[str, ...] = ()
+    wholes: tuple[str, ...] = ()
+    starts: tuple[str, ...] = ()
+    unless: tuple[str, ...] = ()
+
+
+# Labels of column names and of table names.
 DOMAIN_TAGS = (
-    ("Customer", ("customer",), ("first_name", "last_name", "email", "country", "signup_date")),
-    ("Product", ("product",), ("category", "unit_price")),
-    ("Order", ("order",), ("status", "payment_method", "quantity", "discount_pct")),
-    ("FinancialMetric", ("price", "amount", "revenue", "value", "discount"), ()),
-    ("PII", (), ("email",)),
+    NameRule("Customer", ("customer",), ("first_name", "last_name", "email", "country", "signup_date")),
+    NameRule("Product", ("product",), ("category", "unit_price")),
+    NameRule("Order", ("order",), ("status", "payment_method", "quantity", "discount_pct")),
+    NameRule("FinancialMetric", ("price", "amount", "revenue", "value", "discount")),
+    NameRule("PII", wholes=("email",)),
+    NameRule("OperationalMetadata", wholes=("transformed_at",), starts=("_",)),
+)
+TABLE_TERMS = (
+    NameRule("Customer", ("customer",), unless=("customer_360",)),
+    NameRule("Customer360", ("customer_360",)),
+    NameRule("Order", ("order", "sales")),
+    NameRule("Product", ("product", "category")),
+    NameRule("RevenueMetric", ("sales", "performance")),
 )
-OPERATIONAL = "OperationalMetadata"
 
 # Suffix of a schema name, its layer, the layer's glossary term.
 LAYERS = (
@@ -234,17 +252,30 @@ LAYERS = (
 )
 
 
+def labels_of(name: str | Column, rules: Sequence[NameRule]) -> Column:
+    """Sorted labels of the rules that a name meets: one matcher over the rules as an array of rows."""
+    subject = _col(name)
+
+    def texts(values: Sequence[str]) -> Column:
+        return F.array(*map(F.lit, values)).cast("array<string>")
+
+    rows = F.array(
+        *[
+            F.struct(F.lit(r.label).alias("label"), *[texts(getattr(r, k)).alias(k) for k in ("parts", "wholes", "starts", "unless")])
+            for r in rules
+        ]
+    )
+
+    def met(rule: Column) -> Column:
+        hit = F.exists(rule["parts"], subject.contains) | F.array_contains(rule["wholes"], subject) | F.exists(rule["starts"], subject.startswith)
+        return hit & ~F.exists(rule["unless"], subject.contains)
+
+    return F.array_sort(F.transform(F.filter(rows, met), lambda rule: rule["label"]))
+
+
 def domain_tags(column: str | Column) -> Column:
     """Sorted tags of a column name."""
-    name = _col(column)
-    found = []
-    for tag, parts, wholes in DOMAIN_TAGS:
-        tests = [name.contains(part) for part in parts]
-        if wholes:
-            tests.append(name.isin(*wholes))
-        found.append(F.when(reduce(Column.__or__, tests), F.lit(tag)))
-    found.append(F.when(name.startswith("_") | (name == "transformed_at"), F.lit(OPERATIONAL)))
-    return _tag_set(*found)
+    return labels_of(column, DOMAIN_TAGS)
 
 
 def layer_of(schema: str | Column) -> Column:
@@ -256,14 +287,9 @@ def layer_of(schema: str | Column) -> Column:
 
 def glossary_terms(table: str | Column, layer: str | Column) -> Column:
     """Sorted glossary terms of a table name and its layer."""
-    name, level = _col(table), _col(layer)
-    return _tag_set(
-        *[F.when(level == label, F.lit(term)) for _, label, term in LAYERS],
-        F.when(name.contains("customer_360"), F.lit("Customer360")).when(name.contains("customer"), F.lit("Customer")),
-        F.when(name.contains("product") | name.contains("category"), F.lit("Product")),
-        F.when(name.contains("order") | name.contains("sales"), F.lit("Order")),
-        F.when(name.contains("sales") | name.contains("performance"), F.lit("RevenueMetric")),
-    )
+    level = _col(layer)
+    of_layer = F.array_compact(F.array(*[F.when(level == label, F.lit(term)) for _, label, term in LAYERS]))
+    return F.array_sort(F.array_union(of_layer, labels_of(table, TABLE_TERMS)))
 
 
 def merge_tags(existing: str | Column, wanted: str | Column) -> Column:
@@ -316,9 +342,5 @@ def closure(edges: DataFrame) -> DataFrame:
         frontier = reached
 
 
-def _tag_set(*tags: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*tags))))
-
-
 def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

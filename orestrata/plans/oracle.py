@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orestrata import contracts
 from orestrata.operators.governance import DATA_CLASSES, DOMAIN_TAGS, REFERENCE_SETS, VOCABULARY_COLUMNS, class_for
+from orestrata.operators.gold import STATUSES
 from orestrata.operators.quality import AcceptedValues, NotNull, Relationship, Unique
 from orestrata.plans.medallion import TESTS
 
@@ -45,48 +46,56 @@ silver_order_items AS (
   SELECT order_item_id, order_id, product_id, CAST(quantity AS INTEGER) AS quantity,
          CAST(discount_pct AS DECIMAL(5,2)) AS discount_pct
   FROM raw_order_items WHERE quantity > 0),
+line_cents AS (
+  SELECT i.*, product_name, category, unit_price, quantity * price_cents AS gross_cents,
+         (quantity * price_cents * (100 - CAST(discount_pct * 100 AS BIGINT)) + 50) // 100 AS net_cents
+  FROM silver_order_items i, (SELECT *, CAST(unit_price * 100 AS BIGINT) AS price_cents FROM silver_products) p
+  WHERE i.product_id = p.product_id),
+placed_orders AS (
+  SELECT o.*, (SELECT country FROM silver_customers c WHERE c.customer_id = o.customer_id) AS customer_country
+  FROM silver_orders o WHERE customer_id IN (SELECT customer_id FROM silver_customers)),
 silver_sales_enriched AS (
-  SELECT order_item_id, order_id, order_date, order_ts, status, payment_method, customer_id,
-         country AS customer_country, product_id, product_name, category, quantity, unit_price, discount_pct,
-         CAST(unit_price * quantity AS DECIMAL(14,2)) AS gross_amount,
-         CAST((1 - discount_pct) * (unit_price * quantity) AS DECIMAL(14,2)) AS net_amount
-  FROM silver_orders
-  JOIN silver_customers USING (customer_id)
-  JOIN silver_order_items USING (order_id)
-  JOIN silver_products USING (product_id)),
+  SELECT order_item_id, l.order_id, order_date, order_ts, status, payment_method, customer_id, customer_country,
+         product_id, product_name, category, quantity, unit_price, discount_pct,
+         CAST(gross_cents * 0.01 AS DECIMAL(14,2)) AS gross_amount, CAST(net_cents * 0.01 AS DECIMAL(14,2)) AS net_amount
+  FROM line_cents l, placed_orders o WHERE o.order_id = l.order_id),
+order_parts AS (
+  SELECT order_id, category, sum(quantity) AS units, sum(net_cents) AS cents FROM line_cents GROUP BY order_id, category),
+done_parts AS (
+  SELECT order_date, order_parts.* FROM order_parts, placed_orders o
+  WHERE o.order_id = order_parts.order_id AND o.status = 'completed'),
 gold_daily_sales AS (
-  SELECT order_date, category, count(DISTINCT order_id) AS order_count,
-         CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(net_amount) AS DECIMAL(24,2)) AS net_revenue
-  FROM silver_sales_enriched WHERE status = 'completed' GROUP BY ALL),
+  SELECT order_date, category, count(*) AS order_count, CAST(sum(units) AS BIGINT) AS units_sold,
+         CAST(sum(cents) * 0.01 AS DECIMAL(24,2)) AS net_revenue
+  FROM done_parts GROUP BY order_date, category),
 gold_category_performance AS (
-  SELECT category, CAST(sum(order_count) AS BIGINT) AS total_orders, CAST(sum(units_sold) AS BIGINT) AS total_units,
-         CAST(sum(net_revenue) AS DECIMAL(24,2)) AS total_revenue,
-         CAST(CASE WHEN sum(units_sold) <> 0 THEN sum(net_revenue) / sum(units_sold) END AS DECIMAL(14,2))
-           AS avg_revenue_per_unit
-  FROM gold_daily_sales GROUP BY ALL),
+  SELECT category, count(*) AS total_orders, CAST(sum(units) AS BIGINT) AS total_units,
+         CAST(sum(cents) * 0.01 AS DECIMAL(24,2)) AS total_revenue,
+         CAST((2 * sum(cents) + sum(units)) // (2 * sum(units)) * 0.01 AS DECIMAL(14,2)) AS avg_revenue_per_unit
+  FROM done_parts GROUP BY category),
+sold_orders AS (
+  SELECT *, (SELECT sum(cents) FROM order_parts p WHERE p.order_id = o.order_id) AS cents
+  FROM placed_orders o WHERE order_id IN (SELECT order_id FROM order_parts) @ORDERS_SINCE@),
+order_counts AS (
+  SELECT customer_id, status, count(*) AS n, sum(cents) AS cents, max(order_ts) AS last_ts FROM sold_orders GROUP BY ALL),
 customer_metrics AS (
-  SELECT customer_id,
-         count(DISTINCT order_id) FILTER (status = 'completed') AS completed_orders,
-         count(DISTINCT order_id) FILTER (status = 'returned') AS returned_orders,
-         count(DISTINCT order_id) FILTER (status = 'pending') AS pending_orders,
-         count(DISTINCT order_id) FILTER (status = 'cancelled') AS cancelled_orders,
-         sum(net_amount) FILTER (status = 'completed') AS lifetime_value,
-         max(order_ts) FILTER (status = 'completed') AS last_completed_order_ts,
-         max(order_ts) AS last_activity_ts
-  FROM silver_sales_enriched @METRICS_WHERE@ GROUP BY ALL),
+  SELECT customer_id, map_from_entries(list((status, n))) AS orders, max(last_ts) AS last_activity_ts,
+         sum(cents * (status = 'completed')::INTEGER) AS cents, arg_max(last_ts, status = 'completed') AS newest,
+         bool_or(status = 'completed') AS has_completed
+  FROM order_counts GROUP BY customer_id),
 gold_customer_360 AS (
-  SELECT customer_id, first_name, last_name, email, country, signup_date,
-         ifnull(completed_orders, 0) AS completed_orders, ifnull(returned_orders, 0) AS returned_orders,
-         ifnull(pending_orders, 0) AS pending_orders, ifnull(cancelled_orders, 0) AS cancelled_orders,
-         CAST(ifnull(lifetime_value, 0) AS DECIMAL(24,2)) AS lifetime_value,
-         last_completed_order_ts, last_activity_ts
-  FROM silver_customers LEFT JOIN customer_metrics USING (customer_id)),
+  SELECT c.*, @STATUS_COUNTS@, CAST(coalesce(cents, 0) * 0.01 AS DECIMAL(24,2)) AS lifetime_value,
+         CASE WHEN has_completed THEN newest END AS last_completed_order_ts, last_activity_ts
+  FROM silver_customers c LEFT JOIN customer_metrics m ON m.customer_id = c.customer_id),
+raw_parts AS (
+  SELECT i.order_id, category, sum(CAST(quantity AS BIGINT)) AS units,
+         sum(CAST(quantity AS BIGINT) * CAST(round(unit_price * 100) AS BIGINT)) AS cents
+  FROM raw_order_items i, raw_products p WHERE p.product_id = i.product_id GROUP BY i.order_id, category),
 daily_gross AS (
-  SELECT CAST(order_ts AS DATE) AS order_date, category, count(DISTINCT order_id) AS order_count,
-         CAST(sum(CAST(quantity AS INTEGER)) AS BIGINT) AS units_sold,
-         CAST(sum(unit_price * CAST(quantity AS INTEGER)) AS DECIMAL(24,2)) AS gross_revenue
-  FROM raw_order_items JOIN raw_products USING (product_id) JOIN raw_orders USING (order_id)
-  WHERE lower(trim(status)) = 'completed' GROUP BY ALL),
+  SELECT CAST(order_ts AS DATE) AS order_date, category, count(*) AS order_count, CAST(sum(units) AS BIGINT) AS units_sold,
+         CAST(sum(cents) * 0.01 AS DECIMAL(24,2)) AS gross_revenue
+  FROM raw_parts, raw_orders o WHERE o.order_id = raw_parts.order_id AND regexp_matches(status, '^ *[Cc]ompleted *$')
+  GROUP BY 1, 2),
 calendar AS (
   SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date_day
   FROM (SELECT CAST(min(order_date) AS TIMESTAMP) AS lo, CAST(max(order_date) AS TIMESTAMP) AS hi FROM silver_orders)),
@@ -94,8 +103,9 @@ time_spine_daily AS (SELECT date_day FROM calendar)
 """
 
 
-def _sql(select: str, *ctes: str, metrics_where: str = "") -> str:
-    base = _BASE.replace("@METRICS_WHERE@", metrics_where).strip()
+def _sql(select: str, *ctes: str, since: str = "") -> str:
+    counts = ", ".join(f"coalesce(m.orders['{status}'], 0) AS {status}_orders" for status in STATUSES)
+    base = _BASE.replace("@ORDERS_SINCE@", since).replace("@STATUS_COUNTS@", counts).strip()
     return ",\n".join([base, *ctes]) + "\n" + select
 
 
@@ -404,11 +414,11 @@ def _conformance() -> str:
 
 def _column_tags() -> str:
     tags = []
-    for tag, parts, wholes in DOMAIN_TAGS:
-        tests = [f"contains(\"column\", '{part}')" for part in parts]
-        if wholes:
-            tests.append(f'"column" IN ({_quoted(wholes)})')
-        tags.append(f"CASE WHEN {' OR '.join(tests)} THEN '{tag}' END")
+    for rule in DOMAIN_TAGS:
+        tests = [f"contains(\"column\", '{part}')" for part in rule.parts] + [f"starts_with(\"column\", '{x}')" for x in rule.starts]
+        if rule.wholes:
+            tests.append(f'"column" IN ({_quoted(rule.wholes)})')
+        tags.append(f"CASE WHEN {' OR '.join(tests)} THEN '{rule.label}' END")
     tag_list = f"list_sort(list_filter([{', '.join(tags)}], lambda x: x IS NOT NULL))"
     terms = (
         "list_sort(list_filter(["
@@ -495,14 +505,14 @@ ORACLE: dict[str, str] = {
         FROM silver_sales_enriched WHERE status = 'completed' GROUP BY category"""),
     "customer_360": _sql(_CUSTOMER),
     "customer_360_expanded": _sql(_CUSTOMER),
-    "customer_360_recent": _sql(_CUSTOMER, metrics_where="WHERE order_date >= DATE '2001-07-01'"),
+    "customer_360_recent": _sql(_CUSTOMER, since="AND order_date >= DATE '2001-07-01'"),
     "adhoc_daily_gross": _sql("SELECT * FROM daily_gross"),
     "customer_leaderboard": _sql("""
-        SELECT first_name || ' ' || last_name AS customer_name, country, count(DISTINCT order_id) AS total_orders,
-               CAST(sum(unit_price * CAST(quantity AS INTEGER)) AS DECIMAL(24,2)) AS total_revenue
-        FROM raw_order_items JOIN raw_products USING (product_id) JOIN raw_orders USING (order_id)
-        JOIN raw_customers USING (customer_id)
-        GROUP BY first_name, last_name, country ORDER BY total_revenue DESC, customer_name LIMIT 10"""),
+        SELECT concat(first_name, ' ', last_name) AS customer_name, country, count(*) AS total_orders,
+               CAST(sum(cents) * 0.01 AS DECIMAL(24,2)) AS total_revenue
+        FROM (SELECT order_id, sum(cents) AS cents FROM raw_parts GROUP BY order_id) p, raw_orders o, raw_customers c
+        WHERE o.order_id = p.order_id AND c.customer_id = o.customer_id
+        GROUP BY first_name, last_name, country ORDER BY sum(cents) DESC, customer_name LIMIT 10"""),
     "status_breakdown": _sql("SELECT status, count(*) AS row_count FROM silver_orders GROUP BY status"),
     "top_categories": _sql(f"{_CATEGORY} ORDER BY total_revenue DESC, category LIMIT 5"),
     "latest_days": _sql(f"{_DAILY} ORDER BY order_date DESC, category LIMIT 10"),
