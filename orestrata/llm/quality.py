@@ -225,10 +225,12 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: s
 def good(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose score reaches THRESHOLD, with all their columns."""
     model = fit(cut(with_statistics(docs, id_col, text_col)), labels, label, id_col)
-    place = docs.columns.index(text_col)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(model.score(_table(batch.column(place))) >= THRESHOLD))
+    def reaches(texts: pa.Array) -> pa.Array:
+        kept = [np.zeros(0, bool)]
+        for lo, hi in blocks.ranges(blocks.bytes_of(texts)[1]):  # a page of texts at a time
+            kept.append(model.score(_table(texts.slice(lo, hi - lo))) >= THRESHOLD)
+        return pa.array(np.concatenate(kept))
 
-    return docs.mapInArrow(work, docs.schema)
+    # Only the text goes to Python; rows stay in the engine and are filtered there.
+    return docs.where(F.arrow_udf(reaches, "boolean")(F.col(text_col)))
