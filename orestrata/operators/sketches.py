@@ -8,6 +8,7 @@ estimate comes near their number of rows are counted exactly, since those may be
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -83,7 +84,8 @@ def foreign_keys(tables: dict[str, DataFrame], minimum: float = 1.0) -> DataFram
     must meet, and the parent must have enough values. What is left is decided exactly: values are grouped once, to the set
     of columns that hold them, and then by this set, of which there are few. So no pair of columns costs a row per value.
     """
-    stats = {name: _statistics(df) for name, df in tables.items()}
+    with ThreadPoolExecutor(8) as pool:  # many of the scans are small
+        stats = dict(zip(tables, pool.map(_statistics, tables.values())))
     pairs = [
         ((child, c), (parent, p))
         for child, own in stats.items()
@@ -116,8 +118,7 @@ def _statistics(df: DataFrame) -> dict[str, dict]:
     for i, name in enumerate(names):
         text = kind_of(df, name) == "string"
         low, high = ((F.substring(f(name), 1, PREFIX) if text else f(name)) for f in (F.min, F.max))
-        value = F.xxhash64(name) if text else F.col(name)
-        distinct = F.approx_count_distinct(F.when(F.col(name).isNotNull(), value), 0.02)
+        distinct = F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(name).isNotNull(), F.xxhash64(name))))
         made += [F.count(name).alias(f"present__{i}"), low.alias(f"low__{i}"), high.alias(f"high__{i}"), distinct.alias(f"distinct__{i}")]
     row = df.agg(*made).first()
     keys = ("present", "low", "high", "distinct")
