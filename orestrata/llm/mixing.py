@@ -17,7 +17,7 @@ sub-cells of about `SUB` documents, so that a hot cell is no single task. A task
 are less than the root of twice its words (5 million for 10^13 words).
 
 Edge cases: a null or empty text has size 0 and no copies, target or not; a source without words has target 0. Rows that share an id
-are documents each; equal rows get equal copies. Null sources are one source, the last. An empty table gives an empty
+are documents each; equal rows may differ by one copy, so that the target is met. Null sources are one source, the last. An empty table gives an empty
 result. Other columns are never read by `mixed`, and kept by `mixture`.
 """
 
@@ -159,18 +159,38 @@ def _plan(rows: DataFrame) -> DataFrame:
     until = F.sum("m").over(Window.partitionBy("no", "size").orderBy("sub"))
     holds = counts.withColumn("before", until - F.col("m")).where("before < extra and before + m >= extra")
     holds = holds.select("no", "size", "sub", (F.col("extra") - F.col("before")).alias("rank"))
-    place = F.row_number().over(Window.partitionBy("no", "size", "sub").orderBy("draw"))
-    last = inside.select("no", "size", "sub", "draw").join(holds, ["no", "size", "sub"]).withColumn("place", place)
-    last = last.where("place = rank").select("no", "size", F.col("draw").alias("last"))
-    return plan.join(last, ["no", "size"], "left").select("source", "size", "source_size", "target", "base", "last")
+    # Equal rows have equal hashes: they are merged first, and only some of them may get one more.
+    drawn = inside.select("no", "size", "sub", "draw").join(holds, ["no", "size", "sub"])
+    drawn = drawn.groupBy("no", "size", "sub", "rank", "draw").agg(F.count("*").alias("tied"))
+    upto = F.sum("tied").over(Window.partitionBy("no", "size", "sub").orderBy("draw"))
+    last = drawn.withColumn("take", F.col("rank") - (upto - F.col("tied"))).where("take between 1 and tied")
+    last = last.select("no", "size", F.col("draw").alias("last"), "take", "tied")
+    return plan.join(last, ["no", "size"], "left").select("source", "size", "source_size", "target", "base", "last", "take", "tied")
 
 
 def _copied(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """`rows`, with source, size and draw of each document, and what the plan says of them."""
+    """`rows`, with source, size and draw of each document, and what the plan says of them. `plan` is stored."""
+    some_tied = not plan.where("take < tied").isEmpty()
     plan = plan.select(*[F.col(c).alias(f"__plan_{c}") for c in plan.columns])
     same = rows["__source"].eqNullSafe(plan["__plan_source"]) & (rows["__size"] == plan["__plan_size"])
+    met = rows.join(plan, same)
     more = F.coalesce((F.col("__draw") <= F.col("__plan_last")).cast("long"), F.lit(0))
-    return rows.join(plan, same).withColumn("__copies", F.col("__plan_base") + more)
+    if not some_tied:
+        return met.withColumn("__copies", F.col("__plan_base") + more)
+    between = F.coalesce((F.col("__draw") == F.col("__plan_last")) & (F.col("__plan_take") < F.col("__plan_tied")), F.lit(False))
+    clear = met.where(~between).withColumn("__copies", F.col("__plan_base") + more)
+    # Of rows with one hash the first ones get one more: they are numbered by the stored part they lie in, then within it.
+    tied = cut(met.where(between).withColumn("__part", F.spark_partition_id()))
+    cell = ["__plan_source", "__plan_size"]
+    counts = tied.groupBy(*cell, "__part").agg(F.count("*").alias("__here"))
+    before = F.sum("__here").over(Window.partitionBy(*cell).orderBy("__part")) - F.col("__here")
+    counts = counts.select(F.col(cell[0]).alias("__s"), F.col(cell[1]).alias("__z"), F.col("__part").alias("__p"), before.alias("__before"))
+    own = tied[cell[0]].eqNullSafe(counts["__s"]) & (tied[cell[1]] == counts["__z"]) & (tied["__part"] == counts["__p"])
+    place = F.row_number().over(Window.partitionBy(*cell, "__part").orderBy("__draw"))
+    numbered = tied.join(counts, own).withColumn("__place", place + F.col("__before"))
+    more = (F.col("__place") <= F.col("__plan_take")).cast("long")
+    numbered = numbered.withColumn("__copies", F.col("__plan_base") + more)
+    return clear.unionByName(numbered.select(*clear.columns))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
