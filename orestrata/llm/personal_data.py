@@ -4,12 +4,13 @@ Patterns propose spans, leftmost and without overlap within a kind; validators c
 most 255, a card 12 to 19 digits that pass Luhn, a phone 9 to 15 digits, an iban passes mod 97. A proposal that fails
 is dropped and not tried again shorter. An iban has its country's length, so what follows a blank is never part of it; only a
 country code that is not in `IBAN_LENGTHS` takes in all that may belong to it. Each confirmed span has a score: a prior of its kind, plus `NEAR` if one of the kind's
-context words stands within `REACH` characters before or after it, at most 1. An iban is reported from a score of 0.5 on;
+context words stands within `REACH` characters before or after it, but not beyond the next proposal of its kind, at most 1. An iban is reported from a score of 0.5 on;
 the four base kinds whatever their score.
 
 Patterns are written with possessive repeats and may start inside a run of their characters only where the match before
-ended, so that no text, however long, makes them go over a run twice. Positions are code points; they come from the
-lengths of the pieces that `split` leaves between the matches.
+ended, so that no text, however long, makes them go over a run twice. Positions are code points; they are running sums of the
+lengths of the matches and of the pieces that `split` leaves between them, taken by blocks of `BLOCK` matches: the time
+of a text grows with its length, whatever it holds.
 
 Scale: one row in, one row out, no shuffle. Texts without the character a kind needs are not searched for it.
 
@@ -110,6 +111,8 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
+BLOCK = 128
+_FOUND = "array<struct<start:int,end:int,m:string,g:string,h:string>>"
 _SPAN = "array<struct<start:int,end:int,kind:string,order:int,score:double>>"
 
 
@@ -118,23 +121,41 @@ def _spans(kind: str, text: Column) -> Column:
     pattern = PATTERNS[kind]
 
     def placed(found: Column) -> Column:
-        gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-        both = F.zip_with(gaps, found, lambda g, m: F.struct(F.coalesce(g, F.lit(0)).alias("g"), m.alias("m")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("all"))
+        return let(F.split(text, pattern, -1), lambda gaps: within(gaps, found))
+
+    def within(gaps: Column, found: Column) -> Column:
+        """Matches between the gaps around them; the last element is the gap behind the last match."""
+        pairs = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+        behind = F.slice(gaps, F.lit(2), F.size(gaps))
+        return let(F.zip_with(pairs, behind, lambda x, h: F.struct(x["g"].alias("g"), x["m"].alias("m"), h.alias("h"))), counted)
+
+    def counted(parts: Column) -> Column:
+        """Positions are running sums. They are taken by blocks of matches, so that no long array is copied for each match."""
+        size = lambda x: F.coalesce(F.length(x["g"]), F.lit(0)) + F.coalesce(F.length(x["m"]), F.lit(0))
+        block = lambda c: F.slice(parts, c * BLOCK + 1, F.lit(BLOCK))
+        numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int"))
+        totals = F.transform(numbers, lambda c: F.aggregate(block(c), F.lit(0), lambda n, x: n + size(x)))
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+        begins = F.aggregate(
+            totals, none, lambda n, x: F.struct((n["at"] + x).alias("at"), F.array_append(n["all"], n["at"]).alias("all")), lambda n: n["all"]
+        )
+
+        def spans_of(begin: Column, number: Column) -> Column:
+            start = F.struct(begin.alias("at"), F.array().cast(_FOUND).alias("all"))
+
+            def add(state: Column, x: Column) -> Column:
+                first = state["at"] + F.coalesce(F.length(x["g"]), F.lit(0))
+                end = first + F.coalesce(F.length(x["m"]), F.lit(0))
+                span = F.struct(first.alias("start"), end.alias("end"), x["m"].alias("m"), x["g"].alias("g"), x["h"].alias("h"))
+                every = F.when(x["m"].isNull() | ~_valid(kind, x["m"]), state["all"]).otherwise(F.array_append(state["all"], span))
+                return F.struct(end.alias("at"), every.alias("all"))
 
-        def add(state: Column, x: Column) -> Column:
-            begin = state["at"] + x["g"]
-            end = begin + F.coalesce(F.length(x["m"]), F.lit(0))
-            span = F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m"))
-            return F.struct(end.alias("at"), F.when(x["m"].isNull(), state["all"]).otherwise(F.array_append(state["all"], span)).alias("all"))
+            return F.aggregate(block(number), start, add, lambda state: state["all"])
 
-        spans = F.aggregate(both, start, add, lambda s: s["all"])
-        return F.transform(F.filter(spans, lambda s: _valid(kind, s["m"])), scored)
+        return F.transform(F.flatten(F.transform(begins, spans_of)), scored)
 
     def scored(s: Column) -> Column:
-        begin = F.greatest(s["start"] - REACH, F.lit(0))
-        before = F.substring(text, begin + 1, s["start"] - begin)
-        near = F.lower(F.concat(before, F.lit(" "), F.substring(text, s["end"] + 1, F.lit(REACH))))
+        near = F.lower(F.concat(F.right(s["g"], F.lit(REACH)), F.lit(" "), F.substring(F.coalesce(s["h"], F.lit("")), 1, REACH)))
         hit = F.exists(F.array(*[F.lit(w) for w in CONTEXT[kind]]), lambda w: F.contains(near, w))
         score = F.least(F.lit(1.0), F.lit(_PRIOR[kind]) + F.when(hit, NEAR).otherwise(0.0))
         return F.struct(
