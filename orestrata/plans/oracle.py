@@ -702,6 +702,30 @@ ORACLE: dict[str, str] = {
     "stream_delta_enriched": _sql(_FACT),
     "delta_daily_sales": _sql(_DAILY),
     "delta_customer_360": _sql(_CUSTOMER),
+    "sql_pushdown_read": """
+        SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(l_quantity) AS BIGINT) AS units
+        FROM (SELECT l_orderkey, l_quantity FROM lineitem WHERE l_discount > 0.05) l, orders
+        WHERE l_orderkey = o_orderkey AND o_orderstatus = 'F' GROUP BY o_orderpriority""",
+    "batch_labels": _sql("SELECT strftime(order_ts, 'flow_%Y%m%d_%H%M') AS batch_id, count(*) AS row_count FROM raw_orders GROUP BY 1"),
+    "silver_stamps": _sql(
+        _union([f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS stamped FROM {t}" for t in _SCORED])
+    ),
+    "stream_rule_customers": _sql("SELECT * FROM silver_customers WHERE customer_id % 7 <> 0"),
+    "layer_check": _sql(
+        "SELECT layer, CAST(sum(n) AS BIGINT) AS row_count, 'PASS' AS status FROM sized GROUP BY layer",
+        "sized AS (" + _union([f"SELECT '{_layer(t)}' AS layer, count(*) AS n FROM {_base_of(t)}" for t in _TABLES]) + ")",
+    ),
+    "table_as_select": _sql(
+        "SELECT category, max(order_date) AS last_day, CAST(sum(units_sold) AS BIGINT) AS units FROM gold_daily_sales GROUP BY category"
+    ),
+    "latest_months": _sql("""
+        SELECT CAST((year(m) - 1970) * 12 + month(m) - 1 AS INTEGER) AS month_ordinal, strftime(m, '%Y-%m') AS month, row_count
+        FROM (SELECT date_trunc('month', order_date) AS m, count(*) AS row_count FROM silver_orders GROUP BY 1)
+        ORDER BY m DESC LIMIT 3"""),
+    "model_problems": _sql("""
+        SELECT 'daily_sales' AS model, 0 AS "case", 0 AS problems, count(*) AS row_count FROM gold_daily_sales
+        UNION ALL SELECT 'sales_orders', 1, 0, count(*) FROM silver_sales_enriched
+        UNION ALL SELECT 'daily_sales', 2, 6, count(*) FROM silver_customers"""),
     "reconcile_digest": _sql("""
         SELECT order_date, category, order_count, units_sold, net_revenue,
                count(*) FILTER (side = 'l') AS left_copies, count(*) FILTER (side = 'r') AS right_copies

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from orestrata import contracts, session
 from orestrata.functions import money
 from orestrata.functions.text import joined
-from orestrata.functions.times import month_start
+from orestrata.functions.times import batch_label, month_start
 from orestrata.functions.types import catalog_type
 from orestrata.operators import (
     bronze,
@@ -221,6 +221,16 @@ def coerce_outcome(d: Data) -> DataFrame:
     return coerce.outcome(coerce.coerce(_event_texts(d), _EVENT_CONTRACT))
 
 
+@query
+def sql_pushdown_read(d: Data) -> DataFrame:
+    """A SELECT over scans: its filter and columns reach the files."""
+    statement = (
+        "SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(l_quantity) AS BIGINT) AS units FROM {orders} "
+        "JOIN {lines} ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' AND l_discount > 0.05 GROUP BY o_orderpriority"
+    )
+    return files.sql(d.spark, statement, orders=d.scan("orders"), lines=d.scan("lineitem"))
+
+
 # --- bronze and silver -----------------------------------------------------
 
 
@@ -282,6 +292,30 @@ def silver_order_items(d: Data) -> DataFrame:
     return _without_stamp(d.clean.order_items)
 
 
+@query
+def batch_labels(d: Data) -> DataFrame:
+    """Orders by the label of the scheduled batch that their time falls in."""
+    labelled = d.raw.orders.select(batch_label("flow", F.col("order_ts")).alias("batch_id"))
+    return labelled.groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def silver_stamps(d: Data) -> DataFrame:
+    """Rows of each clean entity, and those that carry their time of transformation."""
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.count("transformed_at").alias("stamped")).withColumn("table_name", F.lit(name))
+        for name, df in d.clean.named("silver").items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stream_rule_customers(d: Data) -> DataFrame:
+    """The streaming contract: customers whose email is blank are dropped as well."""
+    blank = d.raw.customers.withColumn("email", F.when(F.col("customer_id") % 7 == 0, F.lit("  ")).otherwise(F.col("email")))
+    return _without_stamp(pipeline.clean("customers", blank, key_type=LARGE.key_type))
+
+
 # --- the fact --------------------------------------------------------------
 
 
@@ -407,6 +441,15 @@ def layer_counts(d: Data) -> DataFrame:
     return reports.layer_counts(medallion.layers(d.stored))
 
 
+@query
+def layer_check(d: Data) -> DataFrame:
+    """Every layer with its rows and whether it has any; the check that fails a run raises on the same counts."""
+    counts = reports.layer_counts(medallion.layers(d.stored))
+    reports.require_rows(counts, ["raw", "bronze", "silver", "gold"])
+    totals = counts.groupBy("layer").agg(F.sum("row_count").alias("row_count"))
+    return totals.withColumn("status", F.when(F.col("row_count") > 0, "PASS").otherwise("FAIL"))
+
+
 @query
 def checksums(d: Data) -> DataFrame:
     t = d.stored
@@ -831,6 +874,38 @@ def gold_view(d: Data) -> DataFrame:
     )
 
 
+@query
+def table_as_select(d: Data) -> DataFrame:
+    """A table created from a SELECT over registered files, read back."""
+    path = d.work("ctas")
+    suffix = path.rsplit("-", 1)[1]
+    sink.create_namespace(d.spark, "orestrata_ctas")
+    sink.replace_table(d.daily, f"{path}/daily")
+    sink.register_files(d.spark, f"orestrata_ctas.daily_{suffix}", f"{path}/daily")
+    select = f"SELECT category, max(order_date) AS last_day, sum(units_sold) AS units FROM orestrata_ctas.daily_{suffix} GROUP BY category"
+    return sink.create_table_as(d.spark, f"orestrata_ctas.last_{suffix}", select, f"{path}/last")
+
+
+@query
+def latest_months(d: Data) -> DataFrame:
+    """The three latest months of a table's partitions with their rows."""
+    stats = versions.partition_stats(d.stored["silver_orders"]).select("month_ordinal", "month", "row_count")
+    return reports.top_k(stats, 3, F.desc("month_ordinal"))
+
+
+@query
+def model_problems(d: Data) -> DataFrame:
+    """The declared models against their tables, and against a table of another shape."""
+    pairs = [(semantic.DAILY_SALES, d.daily), (semantic.SALES_ORDERS, d.fact), (semantic.DAILY_SALES, d.clean.customers)]
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).withColumns(
+            {"model": F.lit(model.name), "case": F.lit(i), "problems": F.lit(len(semantic.validate(model, df)))}
+        )
+        for i, (model, df) in enumerate(pairs)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _reporting(d: Data, mart: str) -> DataFrame:
     copy = sink.refresh_reporting(mart, d.marts[mart], d.work("reporting"))
     return copy.withColumn("is_stamped", F.col("_loaded_at").isNotNull()).drop("_loaded_at")
