@@ -162,3 +162,16 @@ def test_bounded_join_keeps_lines_near_their_order(spark, folder):
     with pipeline.state_settings(spark, 2):
         pipeline.append(joined, f"{folder}/out", f"{folder}/cp", once=True).awaitTermination()
     assert rows(spark.read.parquet(f"{folder}/out"), "order_item_id") == [(1000,), (1001,), (1002,)]
+
+
+def test_orders_are_kept_once(spark, folder):
+    """A copy of the one side is state; orders are a large part of it."""
+    raw = entities(spark)
+    _land(raw, folder)
+    streams = _clean(spark, raw, folder)
+    joined = pipeline.sales_enriched(streams["order_items"], streams["orders"], streams["products"], streams["customers"])
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Generate explode") == 2
+    with pipeline.state_settings(spark, 2):
+        for name in ("rocksdb.compression", "compression.codec"):
+            assert spark.conf.get(f"spark.sql.streaming.stateStore.{name}") == "zstd"
