@@ -245,3 +245,33 @@ def test_build_is_complete(spark, folder):
     assert {k: len(v) for k, v in by_layer.items()} == {"raw": 4, "bronze": 4, "silver": 6, "gold": 3}
     reports.require_rows(reports.layer_counts(by_layer), ["bronze", "silver", "gold"])
     assert built["time_spine_daily"].agg(F.min("date_day")).first()[0] == date(2025, 1, 1)
+
+
+def test_one_batch_is_read_without_an_exchange(spark, folder):
+    """Within a batch a key comes once; only several batches have to be merged."""
+    table = KeyedTable(spark, f"{folder}/k", ["k"])
+    table.upsert(spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 4)], "k int, v int"), 0, ["v"])
+    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert rows(table.read()) == [(1, 2), (None, 4)]
+    table.upsert(spark.createDataFrame([(1, 5)], "k int, v int"), 1, ["v"], gone=spark.createDataFrame([(7,)], "k int"))
+    assert rows(table.read()) == [(1, 5), (None, 4)]
+
+
+def test_amounts_are_added_behind_the_exchange_by_month(spark, folder):
+    lines = spark.sql("select id, date'2026-01-31' order_date, id * 2 units from range(20) union all select 20, null, 0")
+    seen = []
+
+    def derive(dealt):
+        seen.append(dealt._jdf.queryExecution().analyzed().toString())
+        return dealt.select("id", "order_date", (F.col("units") + 1).alias("more"))
+
+    stored = tables.replace_monthly_table(lines, f"{folder}/t", derive=derive)
+    assert "RebalancePartitions" in seen[0] or "rebalance" in seen[0].lower()
+    assert rows(stored.select("id", "more")) == sorted([(i, 2 * i + 1) for i in range(20)] + [(20, 1)], key=repr)
+    assert sorted(str(r[0]) for r in stored.select("order_month").distinct().collect()) == ["2026-01-01", "None"]
+
+
+def test_stored_files_are_packed(spark, orders, folder):
+    session.tune(spark)
+    stored = tables.replace_table(orders, f"{folder}/t")
+    assert all(name.endswith(".zstd.parquet") for name in stored.inputFiles())

@@ -11,7 +11,7 @@ from shop import entities, rows
 from orestrata import session
 from orestrata.operators import enrich, governance, quality, reconcile, sketches, spine
 from orestrata.operators.quality import AcceptedValues, NotNull, Relationship, Unique
-from orestrata.plans import medallion
+from orestrata.plans import medallion, queries
 from orestrata.sinks import tables
 
 
@@ -156,3 +156,26 @@ def test_published_rows_are_switched_at_once(spark, folder):
     with pytest.raises(Exception, match="lost"):
         tables.publish(broken, path)
     assert tables.published(spark, path).count() == 2
+
+
+def test_one_mart_of_the_staged_build_is_not_stored(spark, folder):
+    """A union of one mart joins the staged fact for the columns that this mart reads."""
+    own = {
+        "nation": "select 1 n_nationkey, 'DE' n_name",
+        "customer": "select id c_custkey, concat('Customer#', id) c_name, 1 c_nationkey, double(id - 1) c_acctbal, 'HOME' c_mktsegment from range(5)",
+        "part": "select id p_partkey, 'widget' p_name, if(id < 2, 'A', 'B') p_type, 1.5D p_retailprice from range(4)",
+        "orders": "select id o_orderkey, id % 6 o_custkey, if(id % 3 = 0, 'P', 'F') o_orderstatus, timestamp_ntz'1996-01-05 00:00:00' + make_dt_interval(cast(id as int) * 9) o_orderdate, '5-LOW' o_orderpriority from range(20)",
+        "lineitem": "select id % 21 l_orderkey, id % 5 l_partkey, 1L l_suppkey, cast(id as int) l_linenumber, double(id % 4) l_quantity, 0.1D l_discount, timestamp_ntz'1996-05-05 00:00:00' l_shipdate from range(90)",
+    }
+    for name, text in own.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+    both = {name: queries.QUERIES[f"{name}_union"](spark, folder) for name in ("daily_sales", "category_performance", "customer_360")}
+    assert not any(seen[1] == folder for seen in queries._staged)
+    assert "product_name" not in plan_of(both["customer_360"])
+    clean = queries.Data(spark, folder).clean
+    fact = enrich.sales_enriched(clean.order_items, clean.orders, clean.products, clean.customers)
+    marts = medallion.to_marts(fact, clean.customers, medallion.LARGE)
+    for name, union in both.items():
+        found = union.drop("path")
+        wanted = rows(marts[name].select(*found.columns))
+        assert wanted and rows(union.where("path = 'stored'").drop("path")) == rows(union.where("path = 'staged'").drop("path")) == wanted
