@@ -7,7 +7,8 @@ connected components; the first line of a class, by document id and place, is ke
 Signatures have 40 minima of multiplied 32-bit hashes, cut into 10 bands of 4 (a pair at 0.8 shares a band with
 probability 0.995, at 0.9 with 0.99997). Members of a bucket are compared with five pivots of it, and what then lies in several
 components goes on until any two members of different classes were compared, see `near_dedup.linked`. Candidates
-are verified exactly from their characters.
+whose sketches of 256 parities can't belong to near lines go (`near_dedup.may_be_near`), all others are verified exactly from their
+characters.
 
 Scale: equal lines have one 64-bit hash and are one node, so copies cost a row each and never meet. Band keys are merged where they
 arise; texts are read again only for candidates, through a filter of bounded size. Every join is an equi-join that
@@ -32,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm import blocks
-from orestrata.llm.near_dedup import linked
+from orestrata.llm.near_dedup import linked, sketch_type, sketches
 from orestrata.llm.shared import cut, key_filter, may_hold
 
 SHINGLE = 8
+SKETCH = 4  # 64-bit words
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 K = BANDS * ROWS
@@ -79,12 +81,13 @@ class Lines:
     def text(self, k: int) -> str:
         return self.points[self.starts[k] : self.ends[k]].tobytes().decode("utf-32-le")
 
-    def shingles(self) -> tuple[np.ndarray, np.ndarray]:
-        """64-bit hashes of the runs of each line, and the offsets of lines into them."""
-        size = self.ends - self.starts
+    def shingles(self, some: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit hashes of the runs of each line (or of some), and the offsets of lines into them."""
+        starts, ends = self.starts[some], self.ends[some]
+        size = ends - starts
         runs = np.maximum(size - SHINGLE + 1, 1)
         offsets = np.concatenate([[0], np.cumsum(runs)])
-        at = np.arange(offsets[-1]) + np.repeat(self.starts - offsets[:-1], runs)
+        at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], runs)
         points = self.points.astype(np.uint64) + np.uint64(1)
         points = np.concatenate([points, np.zeros(SHINGLE, np.uint64)])
         total = np.zeros(len(points), np.uint64)
@@ -92,10 +95,18 @@ class Lines:
             total[: len(points) - k] += points[k:] * blocks.FACTORS[k]
         found = total[at]
         for line in np.flatnonzero(size < SHINGLE):  # nothing of the next line may count
-            part = points[self.starts[line] : self.ends[line]]
+            part = points[starts[line] : ends[line]]
             found[offsets[line]] = (part * blocks.FACTORS[: len(part)]).sum(dtype=np.uint64)
         return blocks.mixed(found), offsets
 
+    def sketches(self, some: np.ndarray) -> pa.Array:
+        """Sketches of some lines. A run that a line has again counts once in the parities, so `size` may be too large, which is safe."""
+        runs, offsets = self.shingles(some)
+        count = np.diff(offsets)
+        row = np.repeat(np.arange(len(count)), count)
+        key = np.unique((row.astype(np.uint64) << np.uint64(40)) | (runs >> np.uint64(24)))
+        return sketches(blocks.mixed(key << np.uint64(24)), (key >> np.uint64(40)).astype(np.int64), count, SKETCH)
+
     def bands(self) -> np.ndarray:
         """BANDS keys for each line."""
         runs, offsets = self.shingles()
@@ -165,10 +176,12 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hit = np.flatnonzero(may_hold(held.value, hashes))
                 _, one = np.unique(hashes[hit], return_index=True)
                 texts = pa.array([found.text(k) for k in hit[one].tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[hit[one]]), texts], ["hash", "text"])
+                columns = [pa.array(hashes[hit[one]]), texts, found.sketches(hit[one])]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "text", "sketch"])
 
-    texts = rows.select("text").mapInArrow(again, "hash bigint, text string")
-    texts = cut(texts.join(needed, "hash", "left_semi").groupBy("hash").agg(F.max("text").alias("text")))
+    texts = rows.select("text").mapInArrow(again, f"hash bigint, text string, sketch {sketch_type(SKETCH)}")
+    texts = texts.join(needed, "hash", "left_semi").groupBy("hash").agg(F.max(F.struct("text", "sketch")).alias("of"))
+    texts = cut(texts.select("hash", "of.text", "of.sketch"))
     left = texts.select(F.col("hash").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("hash").alias("b"), F.col("text").alias("text_b"))
 
@@ -177,7 +190,8 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         near = both.mapInArrow(_similarities, "a bigint, b bigint, similarity double")
         return near.where(F.col("similarity") >= similarity).select("a", "b")
 
-    _, roots = linked(shared.join(sizes, "band"), verified)
+    sketched = texts.select(F.col("hash").alias("rep"), "sketch")
+    _, roots = linked(shared.join(sizes, "band"), verified, sketched, SKETCH, similarity)
     roots = roots.withColumnRenamed("node", "hash")
 
     classed = lines.select("id", "line", "hash").join(roots, "hash", "left")

@@ -15,7 +15,9 @@ Candidates: 24 bands of 5 coordinates (a pair at 0.8 shares a band with probabil
 Each member of a bucket is compared, whole texts and exactly, with five pivots of the bucket, the member that meets most
 others and four that differ from bucket to bucket: in proportion to the documents, whatever the size of a group. Only
 where a bucket's members then still lie in several components, those outside its largest one are compared with the
-members of other components. So no class is lost that the bands can show.
+members of other components. So no class is lost that the bands can show. Before two texts meet, their sketches do: the
+parities of their shingles over 512 bits differ in no more places than the shingles themselves, so a pair whose sketches
+differ in more than similarity 0.8 allows is not near, and goes without its texts being read (`may_be_near`). No near pair goes.
 
 Scale: equal texts are merged first by digest, so copies never meet; every join is an equi-join on a digest, band
 or id that adaptive execution may split; nothing is collected.
@@ -29,10 +31,11 @@ An empty table gives an empty result. Other columns are never read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,6 +47,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
 ASKS = 8
+SKETCH = 8  # 64-bit words
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Chances of at most 0, 1, 2 ... darts in a cell of area one, as 64-bit thresholds.
 _TERMS = np.cumprod(np.concatenate([[np.exp(-1.0)], 1.0 / np.arange(1, 18)]))
@@ -108,12 +112,41 @@ def _counted(data, offsets, words=WORDS):
     return key, (key >> np.uint64(48)).astype(np.int64), counts.astype(np.float64)
 
 
+def sketches(item: np.ndarray, row: np.ndarray, size: np.ndarray, words: int) -> pa.Array:
+    """A struct for each row: how many items it has at most, and the parities of how often they fall on each of 64 * `words` bits.
+
+    `item` are mixed hashes of the items of a set, each once.
+    """
+    bits = 64 * words
+    at = row * bits + (item % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(size) * bits) & 1).astype(bool).reshape(len(size), bits)
+    packed = np.ascontiguousarray(np.packbits(odd, axis=1)).view(np.int64)
+    columns = [pa.array(size.astype(np.int64)), *[pa.array(np.ascontiguousarray(packed[:, k])) for k in range(words)]]
+    return pa.StructArray.from_arrays(columns, ["size", *[f"w{k}" for k in range(words)]])
+
+
+def sketch_type(words: int) -> str:
+    return f"struct<size:bigint,{','.join(f'w{k}:bigint' for k in range(words))}>"
+
+
+def may_be_near(one: str, two: str, words: int, similarity: float) -> Column:
+    """False only for pairs below the similarity.
+
+    Of two sets, Jaccard similarity s leaves (1 - s) / (1 + s) of their sizes' sum to items in one of them only; each such item changes
+    one parity, so at least as many items as parities differ.
+    """
+    counts = [F.bit_count(F.col(f"{one}.w{k}").bitwiseXOR(F.col(f"{two}.w{k}"))) for k in range(words)]
+    differ = reduce(Column.__add__, counts, F.lit(0))
+    return differ <= (F.col(f"{one}.size") + F.col(f"{two}.size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = blocks.bytes_of(batch.column(2))
-        parts = []
+        parts, sketched = [], []
         for lo, hi in blocks.ranges(offsets):
             key, row, count = _counted(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            sketched.append(_sketch(key, row, count, hi - lo))
             signature = signatures(key << np.uint64(16), row, count, hi - lo)
             bands = (signature.reshape(hi - lo, BANDS, ROWS) * blocks.FACTORS[:ROWS]).sum(axis=2, dtype=np.uint64)
             bands = blocks.mixed(bands + np.arange(BANDS, dtype=np.uint64) * blocks.FACTORS[9]).view(np.int64)
@@ -123,8 +156,18 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(bands[~none].ravel(), pa.int64()),
             )
             parts.append(lists)
-        lists = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["id", "digest", "bands"])
+        if not parts:
+            parts, sketched = [pa.array([], pa.list_(pa.int64()))], [_sketch(*_counted(data, offsets), 0)]
+        columns = [batch.column(0), batch.column(1), pa.concat_arrays(parts), pa.concat_arrays(sketched)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "bands", "sketch"])
+
+
+def _sketch(key: np.ndarray, row: np.ndarray, count: np.ndarray, rows: int) -> pa.Array:
+    """Of multisets: the second, third ... occurrence of a shingle is an item of its own."""
+    times = count.astype(np.int64)
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    item = blocks.mixed(np.repeat(key << np.uint64(16), times) + nth.astype(np.uint64) * blocks.FACTORS[11])
+    return sketches(item, np.repeat(row, times), np.bincount(row, count, rows), SKETCH)
 
 
 def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,31 +212,40 @@ def star_pairs(shared: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
-def linked(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def linked(
+    shared: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    sketched: DataFrame | None = None,
+    words: int = 0,
+    similarity: float = SIMILARITY,
+) -> tuple[DataFrame, DataFrame]:
     """(links, roots): the pairs (a, b) found near, and a row (node, root) for each of their nodes.
 
-    `shared` has (band, rep, n); `verified` keeps the near ones of pairs. After the pivots, buckets whose members lie in
-    more than one component go on: members outside the bucket's largest component meet all members of other components,
-    at first ASKS of them in each bucket, then twice as many in each round, until all have. So of any two members of a
-    bucket that end in different classes, the similarity was computed.
+    `shared` has (band, rep, n); `verified` keeps the near ones of pairs; `sketched`, if given, has (rep, sketch) of `words` words for
+    each text of a member, and pairs that sketches put below `similarity` are not verified. After the pivots, buckets whose members
+    lie in more than one component go on: members outside the bucket's largest component meet all members of other components, at
+    first ASKS of them in each bucket, then twice as many in each round, until all have. So of any two members of a bucket that
+    end in different classes, the similarity was computed, or their sketches rule it out.
     """
     pairs = cut(star_pairs(shared))
-    links = cut(verified(pairs))
+    if sketched is None:
+        sketched = shared.select("rep", F.struct(F.lit(0).alias("size")).alias("sketch")).distinct()
+    both = pairs.join(sketched.toDF("a", "one"), "a").join(sketched.toDF("b", "two"), "b")
+    links = cut(verified(both.where(may_be_near("one", "two", words, similarity)).select("a", "b").distinct()))
     roots = cut(components(links, "a", "b"))
     known = roots.withColumnRenamed("node", "rep")
     rest = shared.select("band", "rep").join(known, "rep", "left")
     rest = rest.select("band", "rep", F.coalesce("root", "rep").alias("part"), F.lit(False).alias("met"))
+    rest = _apart(rest).drop("main").join(sketched, "rep")
     most = ASKS
     while True:
-        parts = rest.groupBy("band", "part").agg(F.count("*").alias("n"))
-        parts = parts.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-        rest = cut(rest.join(parts.where("parts > 1").select("band", "main"), "band"))
-        place = F.row_number().over(Window.partitionBy("band").orderBy("rep"))
+        rest = cut(_apart(rest))
+        place = F.dense_rank().over(Window.partitionBy("band").orderBy("rep"))
         asks = rest.where("part <> main and not met").withColumn("place", place).where(F.col("place") <= most)
-        asks = cut(asks.select("band", F.col("rep").alias("ask"), F.col("part").alias("ask_part")))
+        asks = cut(asks.select("band", F.col("rep").alias("ask"), F.col("part").alias("ask_part"), F.col("sketch").alias("ask_sketch")))
         if asks.isEmpty():
             return links, roots
-        new = rest.join(asks, "band").where("part <> ask_part")
+        new = rest.join(asks, "band").where((F.col("part") != F.col("ask_part")) & may_be_near("sketch", "ask_sketch", words, similarity))
         new = new.select(F.least("rep", "ask").alias("a"), F.greatest("rep", "ask").alias("b")).distinct()
         new = cut(new.join(pairs, ["a", "b"], "left_anti"))
         found = cut(verified(new))
@@ -206,13 +258,20 @@ def linked(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tup
         moved = moved.select("node", F.coalesce("whole", "root").alias("root"))
         first = merged.toDF("node", "root").join(roots, "node", "left_anti")
         roots = cut(moved.unionByName(first))
-        asked = asks.select("band", F.col("ask").alias("rep"), F.lit(True).alias("asked"))
+        asked = asks.select("band", F.col("ask").alias("rep"), F.lit(True).alias("asked")).distinct()
         rest = rest.join(merged, "part", "left").join(asked, ["band", "rep"], "left").select(
-            "band", "rep", F.coalesce("whole", "part").alias("part"), (F.col("met") | F.col("asked").isNotNull()).alias("met")
+            "band", "rep", F.coalesce("whole", "part").alias("part"), (F.col("met") | F.col("asked").isNotNull()).alias("met"), "sketch"
         )
         most *= 2
 
 
+def _apart(rest: DataFrame) -> DataFrame:
+    """Members of buckets that lie in several components, with the bucket's largest one, `main`."""
+    parts = rest.groupBy("band", "part").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
+    return rest.join(parts.where("parts > 1").select("band", "main"), "band")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """A row for each id: (id_col, class_id, links, kept).
 
@@ -222,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = rows.select("id", F.unhex(F.md5("text")).alias("digest"), "text")
-    banded = keyed.mapInArrow(_band_keys, "id bigint, digest binary, bands array<bigint>")
+    banded = keyed.mapInArrow(_band_keys, f"id bigint, digest binary, bands array<bigint>, sketch {sketch_type(SKETCH)}")
     members = cut(banded)
     texts_of = members.groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     texts_of = texts_of.where("rep is not null")
@@ -233,11 +292,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     needed = shared.select(F.col("rep").alias("id")).distinct()
     texts = rows.join(needed, "id", "left_semi").withColumn("digest", F.md5("text"))
     texts = cut(texts.dropDuplicates(["id", "digest"]).select("id", "text"))
+    # An id with several texts has several sketches.
+    sketched = cut(members.join(needed, "id", "left_semi").select(F.col("id").alias("rep"), "sketch").distinct())
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, texts).where(F.col("similarity") >= similarity).select("a", "b").distinct()
 
-    links, roots = linked(shared, verified)
+    links, roots = linked(shared, verified, sketched, SKETCH, similarity)
 
     ends = links.select(F.col("a").alias("rep"), "b").unionByName(links.select(F.col("b").alias("rep"), F.col("a").alias("b")))
     degree = ends.groupBy("rep").agg(F.count("*").alias("links"))

@@ -274,6 +274,52 @@ def test_members_that_miss_every_pivot_are_linked(spark):
     assert sorted((r.node, r.root) for r in roots.collect()) == [(k, k - k % 2) for k in range(30)]
 
 
+def test_sketches_rule_out_no_near_pair(spark):
+    """Pairs are ruled out only below the similarity, and of clearly different ones most are; repeated shingles count."""
+    pick = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for k in range(400):
+        own = list(words[:150] if k % 2 else words[:20] * 6)
+        for at in pick.sample(range(len(own)), k // 8):
+            own[at] = pick.choice(words)
+        texts.append(" ".join(own))
+    import pyarrow as pa
+
+    from orestrata.llm import blocks
+
+    data, offsets = blocks.bytes_of(pa.array(texts))
+    key, row, count = near_dedup._counted(data, offsets)
+    sketch = near_dedup._sketch(key, row, count, len(texts)).to_pylist()
+    pairs = [(i, j) for i in range(0, 400, 3) for j in range(1, 400, 7)]
+    kind = f"a long, b long, text_a string, text_b string, one {near_dedup.sketch_type(near_dedup.SKETCH)}, two {near_dedup.sketch_type(near_dedup.SKETCH)}"
+    df = spark.createDataFrame([(i, j, texts[i], texts[j], sketch[i], sketch[j]) for i, j in pairs], kind)
+    near = {(r.a, r.b): r.similarity for r in df.select("a", "b", "text_a", "text_b").mapInArrow(near_dedup._similarities, "a long, b long, similarity double").collect()}
+    kept = {(r.a, r.b) for r in df.where(near_dedup.may_be_near("one", "two", near_dedup.SKETCH, 0.8)).collect()}
+    assert {p for p, s in near.items() if s >= 0.8} <= kept
+    far = [p for p, s in near.items() if s < 0.5]
+    assert len(far) > 1000 and len(kept.intersection(far)) < len(far) / 100
+
+
+def test_left_over_members_meet_only_where_sketches_allow(spark):
+    """A bucket of members that are all far from each other: no pair of them is verified, a near one still is linked."""
+    shared = spark.createDataFrame([(1, i, 60) for i in range(60)], "band long, rep long, n long")
+    words = near_dedup.SKETCH
+    rows = [(i, (64, *[1 << (i % 60)] * words)) for i in range(60)]
+    rows = [(i, s if i != 41 else rows[17][1]) for i, s in rows]
+    rows = [(i, (8, *s[1:])) for i, s in rows]
+    sketched = spark.createDataFrame(rows, f"rep long, sketch {near_dedup.sketch_type(words)}")
+    seen = []
+
+    def verified(pairs):
+        seen.extend((r.a, r.b) for r in pairs.collect())
+        return pairs
+
+    links, roots = near_dedup.linked(shared, verified, sketched, words)
+    assert set(seen) == {(17, 41)}
+    assert {(r.a, r.b) for r in links.collect()} == {(17, 41)} and roots.count() == 2
+
+
 def test_pipeline_stages(spark):
     """Each stage on all that its predecessor kept: columns stay, documents only go or repeat, ids decode to the texts."""
     import hashlib
