@@ -36,6 +36,7 @@ CHUNK = 32_768
 OVERLAP = 256
 LOOK = 4
 CACHED = 500_000
+SEEN = 1 << 22
 
 # Unicode's white space; `\s` of some engines takes in the separators U+001C to U+001F too.
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -57,7 +58,10 @@ class Codec:
         self.table = {i: b for b, i in ranks.items()}
         self.packed = {b: i.to_bytes(4, "little") for b, i in ranks.items()}
         self.space = regex.compile(f"[{_SPACE}]")
+        # Ids of what follows a blank, of units met twice; where the hashes of those met before fall.
         self.known: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)
+        self.marks = 0
         # By their first four bytes, the length of the longest token.
         self.longest: dict[bytes, int] = {}
         for token in ranks:
@@ -146,18 +150,37 @@ class Codec:
 
     def unit(self, unit: str) -> bytes:
         """Ids of a blank and what follows it up to the next one."""
-        known = self.known
         out = []
         for piece in self.pieces(" " + unit):
             if piece[0] == " " and len(piece) <= len(unit):
-                found = known.get(piece[1:])
-                if found is None:
-                    found = known[piece[1:]] = self.encode_piece(piece.encode())
-                out.append(found)
+                out.append(self.word(piece))
             else:
                 out.append(self.encode_piece(piece.encode()))
         return b"".join(out)
 
+    def word(self, piece: str) -> bytes:
+        """Ids of a pre-token that begins with a blank; remembered."""
+        known, rest = self.known, piece[1:]
+        found = known.get(rest)
+        if found is None:
+            found = known[rest] = self.encode_piece(piece.encode())
+        return found
+
+    def forget(self) -> None:
+        """Bounds memory, not results."""
+        if len(self.known) >= CACHED:
+            self.known.clear()
+        if self.marks >= SEEN // 4:
+            self.seen, self.marks = bytearray(SEEN), 0
+
+    def first_met(self, unit: str) -> bool:
+        at = hash(unit) % SEEN
+        if self.seen[at]:
+            return False
+        self.seen[at] = 1
+        self.marks += 1
+        return True
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit numbers.
 
@@ -165,15 +188,19 @@ class Codec:
         split there, and what follows a blank is looked up as a whole.
         """
         first, *units = text.split(" ")
-        known = self.known
-        if len(known) >= CACHED:  # bounds memory, not results
-            known.clear()
+        self.forget()
+        known, once = self.known, []
         for unit in set(units).difference(known):
             if not unit or self.space.match(unit):
                 return b"".join([self.encode_piece(p.encode()) for p in self.pieces(text)])
             known[unit] = self.unit(unit)
+            if self.first_met(unit):
+                once.append(unit)
         head = b"".join([self.encode_piece(p.encode()) for p in self.pieces(first)])
-        return head + b"".join(map(known.__getitem__, units))
+        ids = head + b"".join(map(known.__getitem__, units))
+        for unit in once:  # most units never come again
+            known.pop(unit, None)
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -181,8 +208,9 @@ class Codec:
 
 def cut_pieces(codec: Codec, chunk: str) -> tuple[bytes, bytes, bytes]:
     """Pre-tokens of a chunk: the n + 1 offsets of their boundaries, their numbers of tokens, all ids."""
+    codec.forget()
     pieces = codec.pieces(chunk)
-    ids = [codec.encode_piece(piece.encode()) for piece in pieces]
+    ids = [codec.word(piece) if piece[0] == " " and len(piece) > 1 else codec.encode_piece(piece.encode()) for piece in pieces]
     edges = np.cumsum([0, *map(len, pieces)], dtype=np.uint32)
     return edges.tobytes(), np.array([len(x) // 4 for x in ids], np.uint32).tobytes(), b"".join(ids)
 

@@ -87,6 +87,23 @@ def test_bpe_chunks_resynchronise():
         assert codec.decode(want) == text.encode()
 
 
+def test_tokens_met_before_are_remembered(monkeypatch):
+    """Units met once don't push out those that are met again; chunks use the memory too; it stays bounded."""
+    monkeypatch.setattr(bpe, "CACHED", 50)
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    made, plain = [], codec.encode_piece
+    codec.encode_piece = lambda piece: made.append(piece) or plain(piece)
+    texts = [" ".join(["zzq", "unfrequented", *[f"{a}zq{b}x" for a in "bcdfgh" for b in "bcdfg"[: k + 1]]]) for k in range(4)]
+    texts += [f" unfrequented once{k * 7919}" for k in range(60)]
+    for text in texts:
+        assert codec.encode(" " + text) == np.array(ENCODING.encode_ordinary(" " + text), "<u4").tobytes()
+        assert len(codec.known) < 150
+    assert made.count(b" unfrequented") <= 3
+    made.clear()
+    *_, ids = bpe.cut_pieces(codec, " " + " ".join(["unfrequented"] * 30))
+    assert ids == codec.encode(" unfrequented") * 30 and made.count(b" unfrequented") <= 1
+
+
 def test_long_pieces():
     codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
     for text in ("a" * 5000, "ab" * 3000, "日本" * 2000):
