@@ -81,9 +81,12 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.column_stack([*columns, shares])
 
 
+PAGE = 1 << 17  # bytes of text at a time: working arrays take some 100 bytes for each of them
+
+
 def _table(column: pa.Array) -> np.ndarray:
     data, offsets = blocks.bytes_of(column)
-    parts = [statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in blocks.ranges(offsets)]
+    parts = [statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in blocks.ranges(offsets, PAGE)]
     return np.concatenate(parts) if parts else np.zeros((0, STATS))
 
 
