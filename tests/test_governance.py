@@ -129,3 +129,13 @@ def test_closure_of_a_cycle_ends(spark):
 
 def test_declared_references(spark):
     assert governance.relationships(spark).count() == 11
+
+
+def test_only_few_values_are_merged(spark, monkeypatch):
+    """Columns of many values are tried as they are, with the same result; a merge of them would shuffle most rows."""
+    df = spark.range(4000).selectExpr("cast(2000 + id % 400 as string) product_id", "if(id % 3 = 0, 'DE', 'xx') country")
+    found = sorted(map(tuple, governance.detect_classes(df, "t", by_value=True).collect()))
+    assert governance._often_repeated(df, df.columns) == ["product_id", "country"]
+    monkeypatch.setattr(governance, "MERGED", 100)
+    assert governance._often_repeated(df, df.columns) == ["country"]
+    assert sorted(map(tuple, governance.detect_classes(df, "t", by_value=True).collect())) == found
