@@ -94,7 +94,7 @@ def test_tokens_met_before_are_remembered(monkeypatch):
     made, plain = [], codec.encode_piece
     codec.encode_piece = lambda piece: made.append(piece) or plain(piece)
     texts = [" ".join(["zzq", "unfrequented", *[f"{a}zq{b}x" for a in "bcdfgh" for b in "bcdfg"[: k + 1]]]) for k in range(4)]
-    texts += [f" unfrequented once{k * 7919}" for k in range(60)]
+    texts += [f"unfrequented once{k * 7919}" for k in range(60)]
     for text in texts:
         assert codec.encode(" " + text) == np.array(ENCODING.encode_ordinary(" " + text), "<u4").tobytes()
         assert len(codec.known) < 150
