@@ -5,8 +5,8 @@ shorter line is one run. Two lines are linked if the Jaccard similarity of these
 connected components; the first line of a class, by document id and place, is kept and all others are removed.
 
 Signatures have 40 minima of multiplied 32-bit hashes, cut into 10 bands of 4 (a pair at 0.8 shares a band with
-probability 0.995, at 0.9 with 0.99997). Members of a bucket are compared with five pivots of it, and what then lies in several
-components goes on until any two members of different classes were compared, see `near_dedup.linked`. Candidates
+probability 0.995, at 0.9 with 0.99997). A line is compared with one pivot of its buckets, and where a bucket then lies in several
+components this goes on until any two members of different classes were compared, see `near_dedup.linked`. Candidates
 whose sketches of 256 parities can't belong to near lines go (`near_dedup.may_be_near`), all others are verified exactly from their
 characters.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.llm import blocks
-from orestrata.llm.near_dedup import linked, sketch_type, sketches
+from orestrata.llm.near_dedup import linked, sketch_type, sketches, texts_for
 from orestrata.llm.shared import cut, key_filter, may_hold
 
 SHINGLE = 8
@@ -182,10 +182,11 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = rows.select("text").mapInArrow(again, f"hash bigint, text string, sketch {sketch_type(SKETCH)}")
     texts = texts.join(needed, "hash", "left_semi").groupBy("hash").agg(F.max(F.struct("text", "sketch")).alias("of"))
     texts = cut(texts.select("hash", "of.text", "of.sketch"))
-    left = texts.select(F.col("hash").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("hash").alias("b"), F.col("text").alias("text_b"))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        own = texts_for(pairs, texts, "hash")
+        left = own.select(F.col("hash").alias("a"), F.col("text").alias("text_a"))
+        right = own.select(F.col("hash").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         near = both.mapInArrow(_similarities, "a bigint, b bigint, similarity double")
         return near.where(F.col("similarity") >= similarity).select("a", "b")

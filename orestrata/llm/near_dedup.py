@@ -12,10 +12,9 @@ coordinate empty are thrown again up to twice the rank. Two texts agree in a coo
 their similarity.
 
 Candidates: 24 bands of 5 coordinates (a pair at 0.8 shares a band with probability 0.99993, and 8 on average).
-Each member of a bucket is compared, whole texts and exactly, with five pivots of the bucket, the member that meets most
-others and four that differ from bucket to bucket: in proportion to the documents, whatever the size of a group. Only
-where a bucket's members then still lie in several components, those outside its largest one are compared with the
-members of other components. So no class is lost that the bands can show. Before two texts meet, their sketches do: the
+Each text is compared, whole and exactly, with one pivot first, the member of its buckets that meets most others: one pair a
+text, whatever the size of a group. Only where a bucket's members then still lie in several components, those outside its
+largest one are compared with the members of other components. So no class is lost that the bands can show. Before two texts meet, their sketches do: the
 parities of their shingles over 512 bits differ in no more places than the shingles themselves, so a pair whose sketches
 differ in more than similarity 0.8 allows is not near, and goes without its texts being read (`may_be_near`). No near pair goes.
 
@@ -32,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-ASKS = 8
+ASKS = [1, 4, 32, 512]  # and then 16 times as many in each round
+FEW = 100_000
 SKETCH = 8  # 64-bit words
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Chances of at most 0, 1, 2 ... darts in a cell of area one, as 64-bit thresholds.
@@ -188,8 +189,16 @@ def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["a", "b", "similarity"])
 
 
+def texts_for(pairs: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """`texts` that pairs (a, b) name by `key`, so that the others are not shuffled; all, if pairs are many. `pairs` are counted first."""
+    if pairs.count() > FEW:
+        return texts
+    return texts.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias(key))), key, "left_semi")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, similarity) of distinct pairs a < b; `texts` has (id, text)."""
+    texts = texts_for(pairs, texts, "id")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -197,18 +206,15 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of each bucket's members with the bucket's pivots; `shared` has (band, rep, n).
+    """At most one pair (a < b) for each member; `shared` has (band, rep, n).
 
-    The first pivot is the member that meets most others over all its buckets: in a group of copies of one text,
-    that text. The four others are drawn by a hash of member and bucket, so they differ from bucket to bucket.
+    A bucket's pivot is the member that meets most others over all its buckets: in a group of copies of one text, that text.
+    Of the pivots of its buckets a member meets the one that meets most.
     """
     fame = shared.groupBy("rep").agg(F.sum("n").alias("fame"))
-    draws = [F.struct(F.xxhash64("rep", "band", F.lit(k)).alias("draw"), "rep") for k in range(2)]
-    drawn = [end("rep", draw) for draw in draws for end in (F.min_by, F.max_by)]
-    famous = F.max_by("rep", F.struct("fame", -F.col("rep")))
-    pivots = shared.join(fame, "rep").groupBy("band").agg(F.array_distinct(F.array(famous, *drawn)).alias("pivots"))
-    pairs = shared.join(pivots, "band").select("rep", F.explode("pivots").alias("pivot"))
-    pairs = pairs.where("rep <> pivot")
+    tops = shared.join(fame, "rep").groupBy("band").agg(F.max(F.struct("fame", (-F.col("rep")).alias("last"))).alias("top"))
+    best = shared.join(tops, "band").groupBy("rep").agg(F.max("top").alias("top"))
+    pairs = best.select("rep", (-F.col("top.last")).alias("pivot")).where("rep <> pivot")
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
@@ -224,49 +230,41 @@ def linked(
     `shared` has (band, rep, n); `verified` keeps the near ones of pairs; `sketched`, if given, has (rep, sketch) of `words` words for
     each text of a member, and pairs that sketches put below `similarity` are not verified. After the pivots, buckets whose members
     lie in more than one component go on: members outside the bucket's largest component meet all members of other components, at
-    first ASKS of them in each bucket, then twice as many in each round, until all have. So of any two members of a bucket that
-    end in different classes, the similarity was computed, or their sketches rule it out.
+    first ASKS[0] of them in each bucket, then more in each round, until one round has asked all that were left. So of
+    any two members of a bucket that end in different classes, the similarity was computed, or their sketches rule it out.
     """
     pairs = cut(star_pairs(shared))
     if sketched is None:
         sketched = shared.select("rep", F.struct(F.lit(0).alias("size")).alias("sketch")).distinct()
     both = pairs.join(sketched.toDF("a", "one"), "a").join(sketched.toDF("b", "two"), "b")
-    links = cut(verified(both.where(may_be_near("one", "two", words, similarity)).select("a", "b").distinct()))
+    links = cut(verified(cut(both.where(may_be_near("one", "two", words, similarity)).select("a", "b").distinct())))
     roots = cut(components(links, "a", "b"))
-    known = roots.withColumnRenamed("node", "rep")
-    rest = shared.select("band", "rep").join(known, "rep", "left")
-    rest = rest.select("band", "rep", F.coalesce("root", "rep").alias("part"), F.lit(False).alias("met"))
-    rest = _apart(rest).drop("main").join(sketched, "rep")
-    most = ASKS
-    while True:
-        rest = cut(_apart(rest))
+    rest = cut(_apart(shared.select("band", "rep"), roots))
+    for turn in count():
+        most = ASKS[turn] if turn < len(ASKS) else ASKS[-1] * 16 ** (turn + 1 - len(ASKS))
         place = F.dense_rank().over(Window.partitionBy("band").orderBy("rep"))
-        asks = rest.where("part <> main and not met").withColumn("place", place).where(F.col("place") <= most)
-        asks = cut(asks.select("band", F.col("rep").alias("ask"), F.col("part").alias("ask_part"), F.col("sketch").alias("ask_sketch")))
-        if asks.isEmpty():
+        asks = rest.where("part <> main").withColumn("place", place).where(F.col("place") <= most + 1)
+        asks = cut(asks.select("band", "place", F.col("rep").alias("ask"), F.col("part").alias("ask_part")))
+        last = asks.agg(F.max("place")).first()[0]
+        if last is None:
             return links, roots
-        new = rest.join(asks, "band").where((F.col("part") != F.col("ask_part")) & may_be_near("sketch", "ask_sketch", words, similarity))
+        apart = (F.col("part") != F.col("ask_part")) & may_be_near("sketch", "ask_sketch", words, similarity)
+        asks = asks.where(F.col("place") <= most).join(sketched.toDF("ask", "ask_sketch"), "ask")
+        new = rest.join(sketched, "rep").join(asks, "band").where(apart)
         new = new.select(F.least("rep", "ask").alias("a"), F.greatest("rep", "ask").alias("b")).distinct()
         new = cut(new.join(pairs, ["a", "b"], "left_anti"))
         found = cut(verified(new))
-        pairs, links = pairs.unionByName(new), links.unionByName(found)
-
-        part_of = rest.select("rep", "part").distinct()
-        bridges = found.join(part_of.toDF("a", "p"), "a").join(part_of.toDF("b", "q"), "b")
-        merged = cut(components(bridges, "p", "q")).toDF("part", "whole")
-        moved = roots.join(merged.withColumnRenamed("part", "root"), "root", "left")
-        moved = moved.select("node", F.coalesce("whole", "root").alias("root"))
-        first = merged.toDF("node", "root").join(roots, "node", "left_anti")
-        roots = cut(moved.unionByName(first))
-        asked = asks.select("band", F.col("ask").alias("rep"), F.lit(True).alias("asked")).distinct()
-        rest = rest.join(merged, "part", "left").join(asked, ["band", "rep"], "left").select(
-            "band", "rep", F.coalesce("whole", "part").alias("part"), (F.col("met") | F.col("asked").isNotNull()).alias("met"), "sketch"
-        )
-        most *= 2
-
-
-def _apart(rest: DataFrame) -> DataFrame:
-    """Members of buckets that lie in several components, with the bucket's largest one, `main`."""
+        links = links.unionByName(found)
+        roots = cut(components(roots.toDF("a", "b").unionByName(found), "a", "b"))
+        if last <= most:
+            return links, roots
+        pairs = pairs.unionByName(new)
+        rest = cut(_apart(rest.drop("part", "main"), roots))
+
+
+def _apart(rest: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets that lie in several components, each with its component `part` and the bucket's largest one, `main`."""
+    rest = rest.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("root", "rep")).drop("root")
     parts = rest.groupBy("band", "part").agg(F.count("*").alias("n"))
     parts = parts.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
     return rest.join(parts.where("parts > 1").select("band", "main"), "band")

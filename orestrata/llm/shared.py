@@ -35,30 +35,33 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large-star and small-star rounds. Each groups the links by node and joins the node's smallest
     neighbour back, so that no node's links meet in one task (adaptive execution splits a hot node's join), and
-    the number of links never grows. Nulls are no nodes. Ends when a round changes nothing.
+    the number of links never grows. Nulls are no nodes. Ends when all links are stars around their smallest nodes.
     """
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     loops = pairs.where("u = v").select("u")
     pairs = pairs.where("u <> v")
-    before = None
-    while True:
+    while not _stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     found = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = found.select(F.col("root").alias("node"), "root").distinct()
+    roots = found.select(F.col("root").alias("node"), "root")
     alone = loops.select(F.col("u").alias("node"), F.col("u").alias("root"))
     return found.unionByName(roots).unionByName(alone).groupBy("node").agg(F.min("root").alias("root"))
 
 
+def _stars(pairs: DataFrame) -> bool:
+    """Whether each larger end of the distinct `pairs` (u > v) has one smaller end, which is no pair's larger end."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("above"))
+    ends = ends.unionByName(pairs.select(F.col("v").alias("node"), F.lit(0).alias("above")))
+    nodes = ends.groupBy("node").agg(F.sum("above").alias("above"), F.count("*").alias("n"))
+    return nodes.where("above > 0 and n > 1").agg(F.count("*")).first()[0] == 0
+
+
 HOT_SHARE = 1000
 
 

@@ -20,6 +20,7 @@ from orestrata.llm import (
     passages,
     personal_data,
     quality,
+    shared,
     toxicity,
 )
 
@@ -357,3 +358,26 @@ def test_pipeline_stages(spark):
     texts = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect()}
     rows = last.select("doc_id", "decoded_sha256").collect()
     assert len(rows) == docs.count() > 0 and all(texts[r.doc_id] == r.decoded_sha256 for r in rows)
+
+
+def test_pairs_grow_with_the_group(spark):
+    """Variants of one text, each near to most others, share 12 bands: each meets a few others, not some in every band."""
+    members, bands, seen = 400, 12, []
+    buckets = spark.range(members).selectExpr("id AS rep", f"explode(sequence(1L, {bands}L)) AS band", f"{members}L AS n")
+    buckets = buckets.where("xxhash64(rep, band) % 4 <> 0")
+
+    def verified(pairs):
+        seen.append(pairs.count())
+        return pairs.where("(a + b) % 10 <> 0")
+
+    _, roots = near_dedup.linked(buckets, verified)
+    assert {r.root for r in roots.collect()} == {0} and roots.count() == members
+    assert sum(seen) < 8 * members
+
+
+def test_components_need_no_smallest_center(spark):
+    """Chains, stars around a large node, loops, repeated and null links."""
+    rows = [(k, k + 1) for k in range(40)] + [(99, k) for k in range(50, 60)] + [(70, 70), (71, None), (1, 0), (99, 50)]
+    found = shared.components(spark.createDataFrame(rows, "a long, b long"), "a", "b").collect()
+    wanted = {**{k: 0 for k in range(41)}, **{k: 50 for k in [*range(50, 60), 99]}, 70: 70}
+    assert {r.node: r.root for r in found} == wanted and len(found) == len(wanted)
