@@ -1,5 +1,7 @@
 """Streams against the same work done in batch."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from shop import entities, rows
@@ -175,3 +177,25 @@ def test_orders_are_kept_once(spark, folder):
     with pipeline.state_settings(spark, 2):
         for name in ("rocksdb.compression", "compression.codec"):
             assert spark.conf.get(f"spark.sql.streaming.stateStore.{name}") == "zstd"
+
+
+def test_a_batch_step_leaves_no_shuffle_files(spark, folder):
+    """The disks of the executors hold the shuffles of one statement, not those of all batches so far."""
+    raw = entities(spark)
+    clean = medallion.to_silver(raw)
+    _land(raw, folder)
+    lines = _clean(spark, raw, folder)["order_items"]
+    table = KeyedTable(spark, f"{folder}/fact", ["order_item_id"])
+    step = pipeline.enrich_against(clean.orders, clean.products, clean.customers)
+
+    def files():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").split(" ")
+        return {f for f in found if "/shuffle_" in f}
+
+    before = files()
+    pipeline.upsert(lines, table, ["transformed_at"], f"{folder}/cp/fact", once=True, transform=step).awaitTermination()
+    for _ in range(50):  # they go in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and table.read().count() == 7
