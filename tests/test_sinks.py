@@ -275,3 +275,12 @@ def test_stored_files_are_packed(spark, orders, folder):
     session.tune(spark)
     stored = tables.replace_table(orders, f"{folder}/t")
     assert all(name.endswith(".zstd.parquet") for name in stored.inputFiles())
+
+
+def test_packed_files_do_not_pass_for_small_sides(spark, folder):
+    """What repeats a few names packs well: its files are a small part of the rows that a broadcast would bring to the driver."""
+    session.tune(spark)
+    products = spark.range(300_000).selectExpr("id product_id", "concat('name ', id % 7) name", "concat('type ', id % 5) category")
+    stored = tables.replace_table(products, f"{folder}/t").select("product_id", "category")
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert size > 300_000 * 4
