@@ -46,6 +46,21 @@ def test_tests_read_each_table_once(spark, folder):
     assert grouped.count("FileScan parquet") == 4 and grouped.count("Exchange hashpartitioning") == 1
 
 
+def test_relationships_share_the_grouping_of_the_other_tests(spark, folder):
+    parents = tables.replace_table(spark.range(100).selectExpr("cast(id as int) k", "cast(id as string) t"), f"{folder}/p")
+    lines = spark.range(200).selectExpr("if(id = 7, null, id % 101) k", "if(id = 8, null, cast(id % 102 as string)) t", "id")
+    frames = {"p": parents, "c": tables.replace_table(lines, f"{folder}/c")}
+    pairs = [("k", "k"), ("t", "t"), ("k", "t"), ("id", "k")]
+    for links in ([("k", "k")], pairs):
+        tests = [Unique("p", "k"), NotNull("c", "k"), *[Relationship("c", a, "p", b) for a, b in links]]
+        result = quality.run_tests(frames, tests)
+        lost = {"k": 1, "t": 2, "id": 100}
+        found = {(r.test, r.table_name, r.column): r.failures for r in result.collect()}
+        assert found == {("unique", "p", "k"): 0, ("not_null", "c", "k"): 1} | {("relationships", "c", a): lost[a] for a, _ in links}
+        plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 2
+
+
 def test_tests_of_empty_tables_pass(spark):
     empty = {"a": spark.createDataFrame([], "k int, v string"), "b": spark.createDataFrame([], "k int")}
     tests = [NotNull("a", "k"), Unique("a", "k"), AcceptedValues("a", "v", ("x",)), Relationship("a", "k", "b", "k")]
